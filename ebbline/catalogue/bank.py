@@ -279,7 +279,7 @@ class Bank:
         nxt = F.lead("d").over(Window.partitionBy("o_custkey").orderBy("d"))
         return daily.select(
             F.col("o_custkey").alias("ACC_NO"),
-            F.when(F.col("total") >= 50000, _times("total", "0.01")).cast("decimal(20,4)").alias("NORM_PYMT"),
+            F.when(F.col("total") >= 50000, F.floor("total").cast("decimal(16,0)") * F.lit(Decimal("0.01"))).cast(MONEY).alias("NORM_PYMT"),
             F.col("d").alias("RowStartDate"),
             nxt.alias("RowEndDate"),
         )

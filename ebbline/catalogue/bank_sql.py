@@ -97,7 +97,7 @@ txns AS (
               WHEN 3 THEN 'Car Loan' ELSE 'Card purchase' END AS descr
   FROM ln JOIN holders h ON h.o_custkey = ln.o_custkey),
 loans AS (
-  SELECT o_custkey AS ACC_NO, CASE WHEN total >= 50000 THEN total * 0.01 END AS NORM_PYMT,
+  SELECT o_custkey AS ACC_NO, CASE WHEN total >= 50000 THEN CAST(floor(total) AS DECIMAL(16,0)) * 0.01 END AS NORM_PYMT,
          d AS RowStartDate, lead(d) OVER (PARTITION BY o_custkey ORDER BY d) AS RowEndDate
   FROM (SELECT o_custkey, d, sum(total) AS total FROM o GROUP BY 1, 2)),
 applications AS (

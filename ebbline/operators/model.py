@@ -32,7 +32,7 @@ def feature_columns(df: DataFrame, exclude: Sequence[str] = ()) -> tuple[list[st
 def prepare(df: DataFrame, numeric: Sequence[str], text: Sequence[str]) -> DataFrame:
     """Numeric features as double, missing text as its own category."""
     casts: dict[str, Column] = {c: F.col(c).cast("double") for c in numeric}
-    casts.update({c: F.coalesce(F.col(c), F.lit("")) for c in text})
+    casts.update({c: F.coalesce(F.col(c), F.lit("(missing)")) for c in text})
     return df.withColumns(casts)
 
 
