@@ -8,8 +8,10 @@ Everything is derived by Spark from the whole tables.
 from __future__ import annotations
 
 import datetime as dt
+from contextlib import contextmanager
 from decimal import Decimal
 from functools import cached_property
+from typing import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -50,6 +52,19 @@ class Bank:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
+    @contextmanager
+    def kept(self) -> Iterator[None]:
+        """Keep the joined lines and the snapshots while many tables are read."""
+        self.__dict__["orders"] = self.orders.persist()
+        self.__dict__["lines"] = self.lines.persist()
+        self.__dict__["holders"] = self.holders.persist()
+        held = [self.orders, self.lines, self.holders]
+        try:
+            yield
+        finally:
+            for df in held:
+                df.unpersist()
+
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, f"{self.sf_dir}/{name}.parquet")
 

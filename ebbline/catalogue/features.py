@@ -29,7 +29,10 @@ _KEY = "as_of_date date, AccountNumber string"
 
 
 def tables(spark: SparkSession, sf_dir: str) -> churn.ChurnTables:
-    b = Bank(spark, sf_dir)
+    return bank_tables(Bank(spark, sf_dir))
+
+
+def bank_tables(b: Bank) -> churn.ChurnTables:
     branded = {
         n: fe.one_source(getattr(b, n))
         for n in (
@@ -535,7 +538,9 @@ LEFT JOIN rate_at w ON w.as_of_date = b.as_of_date
 
 @query("feature_assembly", ASSEMBLY, ctes=_ALL, sql=_ASSEMBLY_SQL)
 def q_feature_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return churn.build_features(tables(spark, sf_dir), RUN)
+    b = Bank(spark, sf_dir)
+    with b.kept():
+        return churn.build_features(bank_tables(b), RUN)
 
 
 @query(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline.catalogue.bank import Bank
-from ebbline.catalogue.features import RUN, tables
+from ebbline.catalogue.features import RUN, q_feature_assembly
 from ebbline.catalogue.quality_drift import fresh_path
 from ebbline.catalogue.registry import query
 from ebbline.functions.scalars import ratio
@@ -126,7 +126,7 @@ def q_metric_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_rf_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Build the feature table, train on one split, score the other, upsert the batch."""
     feature_table = fresh_path(spark, "features")
-    io.overwrite(churn.with_split(churn.build_features(tables(spark, sf_dir), RUN), RUN.asof), feature_table)
+    io.overwrite(churn.with_split(q_feature_assembly(spark, sf_dir), RUN.asof), feature_table)
     table = io.read_table(spark, feature_table)
     fitted, _ = churn.train_job(table)
     target = fresh_path(spark, "scores")

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from typing import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbline.functions.dates import AsOf, age_years, at_month_series, at_snapshot, month_diff, ymd_to_date
@@ -23,7 +23,7 @@ from ebbline.functions.scalars import (
     remap,
 )
 from ebbline.operators.joins import latest_as_of, open_or_closed_within, valid_at
-from ebbline.operators.ordered import PLAIN_WINDOW_ROWS, ntile, prefix_sums
+from ebbline.operators.ordered import PLAIN_WINDOW_ROWS, largest_group, ntile, prefix_sums
 from ebbline.operators.trends import account_trends
 
 KEY = ["as_of_date", "AccountNumber"]
@@ -150,8 +150,6 @@ def attribute_changed(
     A window group is one client, attribute kind and as-of date: at most
     ``months + 1`` snapshots.
     """
-    from pyspark.sql import Window
-
     w = Window.partitionBy("as_of_date", "ClientNumber", kind).orderBy("EndOfDayDate", value)
     steps = at_month_series(
         history.select("ClientNumber", kind, "EndOfDayDate", value), asof, months
@@ -255,27 +253,39 @@ def declared_income(
 
     Incomes below ``min_income`` count as unknown.
     """
-    dated = applications.filter(
-        (F.length(F.col("PROC_DATE").cast("string")) == 8) & F.col("ALPS_APPL_NO").isNotNull()
-    ).withColumn("_proc", ymd_to_date(F.col("PROC_DATE")))
-    latest = latest_as_of(dated, asof, ["ACC_NO"], "_proc", ["ALPS_APPL_NO"], ["ALPS_APPL_NO"]).select(
-        "as_of_date",
-        F.col("ACC_NO").cast("string").alias("_loan"),
-        application_number(F.col("ALPS_APPL_NO")).alias("ApplicationNumber"),
+    loans = base.select(*KEY, F.substring("AccountNumber", 2, 100).alias("_loan"))
+    # Only the history of loans in the population is taken forward over the dates.
+    dated = (
+        applications.filter(
+            (F.length(F.col("PROC_DATE").cast("string")) == 8) & F.col("ALPS_APPL_NO").isNotNull()
+        )
+        .withColumn("_proc", ymd_to_date(F.col("PROC_DATE")))
+        .withColumn("_loan", F.col("ACC_NO").cast("string"))
+        .join(loans.select("_loan").distinct(), "_loan", "left_semi")
     )
-    declared = valid_at(
-        serviceability.filter(F.col("type") == "APPLICANT"), asof, run_date=run_date
-    ).select(
-        "as_of_date",
-        F.col("applicationId").cast("string").alias("ApplicationNumber"),
+    latest = latest_as_of(dated, asof, ["_loan"], "_proc", ["ALPS_APPL_NO"], ["ALPS_APPL_NO"]).select(
+        "as_of_date", "_loan", application_number(F.col("ALPS_APPL_NO")).alias("ApplicationNumber")
+    )
+    declared = serviceability.filter(F.col("type") == "APPLICANT").select(
+        F.col("applicationId").cast("string").alias("_app"),
+        F.col("RowStartDate").cast("date").alias("_from"),
+        F.col("RowEndDate").cast("date").alias("_to"),
         "repaymentAmount",
         F.when(F.col("totalIncomeValue") >= min_income, F.col("totalIncomeValue")).alias("MonthlyIncome"),
         F.col("totalExpenseValue").alias("MonthlyExpenses"),
     )
-    loans = base.select(*KEY, F.substring("AccountNumber", 2, 100).alias("_loan"))
+    # The loan side already carries E, so validity is a condition of this equi-join and the
+    # declarations are read once, not once per date.
+    day = F.col("as_of_date")
+    matches = (
+        (F.col("ApplicationNumber") == F.col("_app"))
+        & (F.col("_from") <= day)
+        & (day <= F.coalesce("_to", F.lit(run_date)))
+        & (F.col("_to").isNull() | (F.col("_to") > day))
+    )
     return (
         loans.join(latest, ["as_of_date", "_loan"], "left")
-        .join(declared, ["as_of_date", "ApplicationNumber"], "left")
+        .join(declared, matches, "left")
         .select(*KEY, "ApplicationNumber", "repaymentAmount", "MonthlyIncome", "MonthlyExpenses")
     )
 
@@ -333,7 +343,15 @@ def later_repayments(
         .agg(*[F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in sums])
     )
     client = ["as_of_date", "ClientNumber"]
-    running = prefix_sums(steps, client, ["_opened"], sums, many_groups=True, plain_rows=plain_rows)
+    # A client has at most one step per account it holds.
+    running = prefix_sums(
+        steps,
+        client,
+        ["_opened"],
+        sums,
+        largest_group=largest_group(cmap, client),
+        plain_rows=plain_rows,
+    )
     totals = paid.groupBy(*client).agg(*[F.coalesce(F.sum(s), F.lit(0)).alias(f"_all{s}") for s in sums])
     after = holders.join(running.drop(*sums), [*client, "_opened"]).join(totals, client)
     left = {s: F.sum(F.col(f"_all{s}") - F.col(f"cum_{s}")) for s in sums}

@@ -39,24 +39,19 @@ def prefix_sums(
     order: Sequence[str],
     values: Sequence[str],
     *,
-    many_groups: bool = False,
+    largest_group: int | None = None,
     plain_rows: int = PLAIN_WINDOW_ROWS,
     buckets: int | None = None,
 ) -> DataFrame:
     """Add ``cum_<value>``: the inclusive running sum per key in ``order``.
 
-    ``order`` must be unique within a key (aggregate ties first).  With
-    ``many_groups`` the largest group is measured first, and a plain window is used
-    when it is small enough for one task.
+    ``order`` must be unique within a key (aggregate ties first).  When the caller has
+    measured that no group exceeds ``plain_rows``, a plain window per key does it.
     """
     keys, order = list(keys), list(order)
-    if many_groups:
-        largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-        if largest <= plain_rows:
-            w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
-                Window.unboundedPreceding, 0
-            )
-            return df.withColumns({f"cum_{v}": F.sum(v).over(w) for v in values})
+    if largest_group is not None and largest_group <= plain_rows:
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumns({f"cum_{v}": F.sum(v).over(w) for v in values})
 
     placed = freeze(
         df.repartitionByRange(_buckets(df, buckets), *keys, *order).withColumn(
@@ -90,6 +85,11 @@ def prefix_sums(
     return joined.select(*plain, *sums)
 
 
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of the largest group; one number comes to the driver."""
+    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+
+
 def row_ranks(
     df: DataFrame,
     keys: Sequence[str],

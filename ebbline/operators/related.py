@@ -84,6 +84,7 @@ def related_totals(
     base: DataFrame,
     members: DataFrame,
     *,
+    holdings: DataFrame | None = None,
     heavy_degree: int = HEAVY_DEGREE,
     max_heavy: int = MAX_HEAVY,
 ) -> DataFrame:
@@ -91,11 +92,14 @@ def related_totals(
 
     ``base``: as_of_date, account, client.  ``members``: as_of_date, client, related,
     status, kind, balance, where the last three belong to (as_of_date, related).
+    ``holdings`` is a superset of the (as_of_date, client) rows of ``members`` that is
+    cheaper to count, for finding the heavy clients.
     """
     values = _measures()
     attrs = ["status", "kind", "balance"]
     heavy = (
-        members.groupBy("as_of_date", "client")
+        (members if holdings is None else holdings)
+        .groupBy("as_of_date", "client")
         .count()
         .filter(F.col("count") > heavy_degree)
         .select("as_of_date", "client")
@@ -203,19 +207,19 @@ def related_accounts(
     )
     gap = month_diff(F.col("as_of_date"), F.col("closed"))
     state = state.filter((F.col("status") == "Open") | gap.between(0, closed_months)).drop("closed")
-    members = (
-        client_map.filter(F.col("GeneralAccountTypeDescription").isin(RELATED_KINDS))
-        .select("as_of_date", F.col("ClientNumber").alias("client"), F.col("AccountNumber").alias("related"))
-        .distinct()
-        .join(state, ["as_of_date", "related"])
+    holdings = client_map.filter(F.col("GeneralAccountTypeDescription").isin(RELATED_KINDS)).select(
+        "as_of_date", F.col("ClientNumber").alias("client"), F.col("AccountNumber").alias("related")
     )
+    members = holdings.distinct().join(state, ["as_of_date", "related"])
     base_clients = base.select("as_of_date", F.col("AccountNumber").alias("account")).join(
         client_map.select(
             "as_of_date", F.col("AccountNumber").alias("account"), F.col("ClientNumber").alias("client")
         ),
         ["as_of_date", "account"],
     )
-    t = related_totals(base_clients, members, heavy_degree=heavy_degree, max_heavy=max_heavy)
+    t = related_totals(
+        base_clients, members, holdings=holdings, heavy_degree=heavy_degree, max_heavy=max_heavy
+    )
     return t.select(
         "as_of_date",
         F.col("account").alias("AccountNumber"),

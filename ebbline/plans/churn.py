@@ -95,9 +95,20 @@ def core_blocks(t: ChurnTables, run: ChurnRun, *, cache: bool = False) -> Core:
     return Core(paid, base, cmap, details, income, codes)
 
 
-def build_features(t: ChurnTables, run: ChurnRun, *, cache: bool = False) -> DataFrame:
-    """Account trends, transaction trends and the assembled model input (IO6)."""
-    core = core_blocks(t, run, cache=cache)
+def build_features(t: ChurnTables, run: ChurnRun) -> DataFrame:
+    """Account trends, transaction trends and the assembled model input (IO6).
+
+    The rate tile at the end cuts the lineage in the shared folder, so the blocks that were
+    kept for the build can be released before returning.
+    """
+    core = core_blocks(t, run, cache=True)
+    try:
+        return _assembled(t, run, core)
+    finally:
+        core.release()
+
+
+def _assembled(t: ChurnTables, run: ChurnRun, core: Core) -> DataFrame:
     asof, base, cmap = run.asof, core.base, core.cmap
     means = features.group_means(core.codes, core.details, core.income)
     return features.assemble(
