@@ -94,6 +94,16 @@ def train_forest(
     return Pipeline(stages=[*stages, forest]).fit(rows)
 
 
+def stored(fitted: PipelineModel, path: str) -> PipelineModel:
+    """Write the model and read it back.
+
+    What comes back is what a scoring job loads: it no longer carries the training summary,
+    which holds the session and cannot go to tasks of an observed write.
+    """
+    fitted.write().overwrite().save(path)
+    return PipelineModel.load(path)
+
+
 def _inputs(model: PipelineModel) -> tuple[list[str], list[str]]:
     numeric = next((list(s.getInputCols()) for s in model.stages if s.__class__.__name__ == "ImputerModel"), [])
     text = next((list(s.getInputCols()) for s in model.stages if s.__class__.__name__ == "StringIndexerModel"), [])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 from typing import Mapping, Sequence
 
@@ -15,6 +16,7 @@ from ebbline.operators import drift, features, metrics, model
 from ebbline.operators.joins import capped_lookup
 from ebbline.operators.related import related_accounts
 from ebbline.operators.transactions import transaction_features
+from ebbline.session import shared_dir
 from ebbline.sources import io
 
 
@@ -160,15 +162,17 @@ def train_job(
     label: str = "ChurnedIn90D",
     exclude: Sequence[str] = ("as_of_date", "AccountNumber", "split"),
     cut: float = 0.5,
+    model_path: str | None = None,
     **forest,
 ) -> tuple[PipelineModel, DataFrame]:
-    """Fit on the training split, measure on the test split (ML9).
+    """Fit on the training split, store the model, measure on the test split (ML9).
 
     The metrics are one row: auc, accuracy, precision, recall, f1, f2.
     """
     known = table.filter(F.col(label).isNotNull())
     train = io.require_rows(known.filter(F.col("split") == "train"), "training split")
-    fitted = model.train_forest(train, label=label, exclude=exclude, **forest)
+    path = model_path or f"{shared_dir(table.sparkSession)}/model-{uuid.uuid4().hex}"
+    fitted = model.stored(model.train_forest(train, label=label, exclude=exclude, **forest), path)
     scored = model.score(fitted, known.filter(F.col("split") == "test"), "score").withColumn(
         "prediction", (F.col("score") >= cut).cast("int")
     )

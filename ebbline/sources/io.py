@@ -86,7 +86,10 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
 def overwrite(df: DataFrame, target: str, partition_by: tuple[str, ...] = ()) -> int:
     """Replace the whole table (IO4); the row count comes with the same write (IO5)."""
     counted, seen = _counted(df)
-    writer = counted.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = counted.write.mode("overwrite")
+    if "/" in target:
+        # For a catalog table the option would stay with the table and undo later upserts.
+        writer = writer.option("partitionOverwriteMode", "static")
     _save(writer.partitionBy(*partition_by) if partition_by else writer, target)
     return seen.get["rows"]
 
