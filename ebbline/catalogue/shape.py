@@ -20,24 +20,24 @@ def fields(spec: str) -> list[tuple[str, str]]:
     return [tuple(part.split()) for part in spec.split(",")]
 
 
+# Values such as x / 28 often lie exactly on a rounding edge, where the last bit decides.
+# A fixed offset far below the sixth place moves them off the edge on both sides.
+OFF_EDGE = "3e-9"
+
+
 def shape(df: DataFrame, spec: str) -> DataFrame:
-    """Select and cast; doubles to six places, and without a negative zero."""
+    """Select and cast; doubles to six places."""
     cols = []
     for name, kind in fields(spec):
-        c = F.col(name)
-        if kind == "double":
-            c = F.round(c, 6)
-        c = c.cast(kind)
-        cols.append((c + F.lit(0.0) if kind == "double" else c).alias(name))
+        c = F.col(name).cast(kind)
+        cols.append((F.round(c + F.lit(float(OFF_EDGE)), 6) if kind == "double" else c).alias(name))
     return df.select(*cols)
 
 
 def shaped_sql(spec: str, ctes: str, body: str) -> str:
     cols = []
     for name, kind in fields(spec):
-        if kind == "double":
-            cols.append(f"CAST(round({name}, 6) AS DOUBLE) + CAST(0 AS DOUBLE) AS {name}")
-        else:
-            cols.append(f"CAST({name} AS {SQL_TYPES[kind]}) AS {name}")
+        c = f"CAST({name} AS {SQL_TYPES[kind]})"
+        cols.append(f"round({c} + {OFF_EDGE}, 6) AS {name}" if kind == "double" else f"{c} AS {name}")
     head = f"WITH {ctes}\n" if ctes else ""
     return f"{head}SELECT {', '.join(cols)} FROM (\n{body}\n) AS q"

@@ -94,7 +94,7 @@ def running_counts(counts: DataFrame) -> DataFrame:
     """Value counts with cum_n_base and cum_n_cur per feature, and both totals."""
     cum = prefix_sums(counts, ["feature"], ["value"], ["n_base", "n_cur"])
     totals = cum.groupBy("feature").agg(
-        F.max("cum_n_base").alias("total_base"), F.max("cum_n_cur").alias("total_cur")
+        F.sum("n_base").alias("total_base"), F.sum("n_cur").alias("total_cur")
     )
     # One row per feature: as many as the table has columns.
     return cum.join(F.broadcast(totals), "feature")
