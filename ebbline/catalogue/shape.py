@@ -26,11 +26,11 @@ OFF_EDGE = "3e-9"
 
 
 def shape(df: DataFrame, spec: str) -> DataFrame:
-    """Select and cast; doubles to six places."""
+    """Select and cast; doubles to six places, without a negative zero."""
     cols = []
     for name, kind in fields(spec):
         c = F.col(name).cast(kind)
-        cols.append((F.round(c + F.lit(float(OFF_EDGE)), 6) if kind == "double" else c).alias(name))
+        cols.append((F.round(c + F.lit(float(OFF_EDGE)), 6) + F.lit(0.0) if kind == "double" else c).alias(name))
     return df.select(*cols)
 
 
@@ -38,6 +38,8 @@ def shaped_sql(spec: str, ctes: str, body: str) -> str:
     cols = []
     for name, kind in fields(spec):
         c = f"CAST({name} AS {SQL_TYPES[kind]})"
-        cols.append(f"round({c} + {OFF_EDGE}, 6) AS {name}" if kind == "double" else f"{c} AS {name}")
+        if kind == "double":
+            c = f"round({c} + {OFF_EDGE}, 6) + CAST(0 AS DOUBLE)"
+        cols.append(f"{c} AS {name}")
     head = f"WITH {ctes}\n" if ctes else ""
     return f"{head}SELECT {', '.join(cols)} FROM (\n{body}\n) AS q"

@@ -140,7 +140,9 @@ def score(model: PipelineModel, features: DataFrame, name: str = "churn_score")
     # Prepared copies go in under the model's names; the caller's columns come back as they were.
     kept = features.select("*", F.struct(*[F.col(c) for c in features.columns]).alias("row__"))
     out = model.transform(prepare(kept, numeric, text))
-    return out.select("row__.*", vector_to_array("probability__")[1].alias(name))
+    # A model that saw one class only has no second entry.
+    p = F.coalesce(F.get(vector_to_array("probability__"), F.lit(1)), F.lit(0.0))
+    return out.select("row__.*", p.alias(name))
 
 
 def score_with(
