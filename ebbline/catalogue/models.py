@@ -114,8 +114,7 @@ SELECT metric, coalesce(value, 0) AS value, threshold, coalesce(value, 0) >= thr
 )
 def q_metric_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = judged(spark, sf_dir)
-    one = F.lit(1).alias("k")
-    row = metrics.auc(j).select(one, "auc").join(metrics.threshold_metrics(j).select(one, "*"), "k")
+    row = metrics.one_row(metrics.auc(j).select("auc"), metrics.threshold_metrics(j))
     return metrics.metric_gate(row, {"auc": 0.75, "recall": 0.80, "precision": 0.75, "not_logged": 0.5})
 
 

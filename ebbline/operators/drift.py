@@ -244,7 +244,8 @@ def jsd_distance(hist: DataFrame, keys: Sequence[str], p: str, q: str) -> DataFr
     if keys:
         joined = hist.join(totals, keys)
     else:
-        joined = hist.join(F.broadcast(totals))
+        both = totals.first()
+        joined = hist.withColumns({"_tp": F.lit(both["_tp"]), "_tq": F.lit(both["_tq"])})
     pp = F.col(p) / F.col("_tp").cast("double")
     qq = F.col(q) / F.col("_tq").cast("double")
     m = 0.5 * (pp + qq)

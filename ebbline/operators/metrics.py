@@ -76,6 +76,14 @@ def threshold_metrics(
     )
 
 
+def one_row(*frames: DataFrame) -> DataFrame:
+    """Frames of one row each, side by side."""
+    stacked = frames[0]
+    for f in frames[1:]:
+        stacked = stacked.unionByName(f, allowMissingColumns=True)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+
+
 def metric_gate(metrics: DataFrame, thresholds: Mapping[str, float]) -> DataFrame:
     """metric, value, threshold, passed (ML4).  A missing metric counts as 0.
 

@@ -210,7 +210,8 @@ def related_accounts(
     holdings = client_map.filter(F.col("GeneralAccountTypeDescription").isin(RELATED_KINDS)).select(
         "as_of_date", F.col("ClientNumber").alias("client"), F.col("AccountNumber").alias("related")
     )
-    members = holdings.distinct().join(state, ["as_of_date", "related"])
+    # A repeated bridge row does no harm: accounts are made distinct per base account.
+    members = holdings.join(state, ["as_of_date", "related"])
     base_clients = base.select("as_of_date", F.col("AccountNumber").alias("account")).join(
         client_map.select(
             "as_of_date", F.col("AccountNumber").alias("account"), F.col("ClientNumber").alias("client")

@@ -178,9 +178,7 @@ def train_job(
     )
     ranked = metrics.auc(scored, label=label, score="score")
     cuts = metrics.threshold_metrics(scored, label=label)
-    # Two frames of one row each, put side by side on a constant key.
-    one = F.lit(1).alias("_k")
-    row = ranked.select(one, "auc").join(cuts.select(one, "*"), "_k").drop("_k")
+    row = metrics.one_row(ranked.select("auc"), cuts)
     return fitted, row
 
 

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from ebbline.functions.dates import at_snapshot
+from ebbline.functions.dates import at_snapshot, month_ends
 from ebbline.catalogue.features import ASOF, tables
 from ebbline.operators import drift, quality
 from ebbline.operators import features as fe
@@ -66,7 +66,7 @@ def test_blocks_have_no_nested_loop_and_no_single_partition(spark, t):
                     start=dt.date(1997, 1, 1),
                     end=dt.date(2001, 1, 1),
                 ),
-                spark.range(1).select(F.lit(dt.date(1997, 1, 31)).alias("TransactionMonth")),
+                month_ends(t.calendar, dt.date(1997, 1, 1), dt.date(2001, 1, 1)),
             )
         ),
     ]

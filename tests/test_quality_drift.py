@@ -100,6 +100,11 @@ def test_identity_has_no_drift(spark):
     assert jsd == pytest.approx(0, abs=1e-4)
 
 
+def test_jsd_without_a_key(spark):
+    hist = spark.createDataFrame([(1.0, 0.0), (0.0, 3.0), (0.0, 0.0)], "p double, q double")
+    assert drift.jsd_distance(hist, [], "p", "q").first().jsd == pytest.approx(math.sqrt(math.log(2)), abs=1e-6)
+
+
 def test_too_few_values_and_nan_are_no_drift(spark):
     one = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "x double")
     many = spark.createDataFrame([(float(i),) for i in range(100)], "x double")
