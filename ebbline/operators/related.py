@@ -119,18 +119,31 @@ def related_totals(
     on = ["as_of_date", "client"]
 
     def with_heavy(df: DataFrame, who: str) -> tuple[DataFrame, DataFrame]:
-        """(rows of light clients with H attached, one row per account with H)."""
+        """(all rows, flagged where the client is heavy; one row per account with H).
+
+        Heavy clients are counted first, so that H is gathered for accounts with few only.
+        """
+        keys = ["as_of_date", who]
         flagged = df.join(heavy.withColumn("_hv", F.lit(True)), on, "left")
-        sets = (
-            flagged.groupBy("as_of_date", who)
-            .agg(F.array_sort(F.collect_set(F.when(F.col("_hv"), F.col("client")))).alias("_h"))
+        sizes = flagged.groupBy(*keys).agg(F.count("_hv").alias("_n"))
+        few = sizes.filter((F.col("_n") > 0) & (F.col("_n") <= max_heavy)).drop("_n")
+        gathered = (
+            flagged.filter("_hv")
+            .join(few, keys, "left_semi")
+            .groupBy(*keys)
+            .agg(F.array_sort(F.collect_set("client")).alias("_h"))
+        )
+        sets = sizes.join(gathered, keys, "left").select(
+            *keys,
+            F.coalesce("_h", F.array().cast("array<string>")).alias("_h"),
+            (F.col("_n") > max_heavy).alias("_wide"),
         )
         return flagged, sets
 
     base_rows, base_sets = with_heavy(base.distinct(), "account")
     mem_rows, mem_sets = with_heavy(members, "related")
-    base_sets = base_sets.withColumnRenamed("_h", "_hb").withColumn("_wide_b", F.size("_hb") > max_heavy)
-    mem_sets = mem_sets.withColumnRenamed("_h", "_hm").withColumn("_wide_m", F.size("_hm") > max_heavy)
+    base_sets = base_sets.withColumnsRenamed({"_h": "_hb", "_wide": "_wide_b"})
+    mem_sets = mem_sets.withColumnsRenamed({"_h": "_hm", "_wide": "_wide_m"})
     base_all = base_rows.join(base_sets, ["as_of_date", "account"])
     mem_all = mem_rows.join(mem_sets, ["as_of_date", "related"])
     is_light = F.col("_hv").isNull()
