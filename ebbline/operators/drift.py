@@ -9,6 +9,8 @@ NULL and NaN values are left out on both sides.
 
 from __future__ import annotations
 
+from functools import reduce
+from math import exp, lgamma, log
 from typing import Sequence
 
 import numpy as np
@@ -160,8 +162,12 @@ def percentile_edges(cum: DataFrame, bins: int = PSI_BINS) -> DataFrame:
         return pos.between(first, last)
 
     i = F.col("_i")
+    # A plain comparison first: some i * top / bins lies within one position of the value's
+    # range.  It leaves a few rows per feature for the array work.
+    near = F.floor((last + 1) * bins / top) >= F.ceil((first - 1) * bins / top)
     hits = (
         cum.filter(F.col("n_base") > 0)
+        .filter(F.when(top > 0, near).otherwise(True))
         .select(
             "feature",
             "value",
@@ -193,7 +199,8 @@ def percentile_edges(cum: DataFrame, bins: int = PSI_BINS) -> DataFrame:
 def bin_index(value: Column, edges: Column, bins: int = PSI_BINS) -> Column:
     """0-based half-open bin, the last one closed; NULL outside.  Of equal edges the last
     one counts, so bins of no width stay empty."""
-    at = F.size(F.filter(edges, lambda e: e <= value)) - 1
+    reached = [F.when(F.get(edges, F.lit(i)) <= value, 1).otherwise(0) for i in range(bins + 1)]
+    at = reduce(Column.__add__, reached) - 1
     return F.when(value == F.element_at(edges, -1), F.lit(bins - 1)).when((at >= 0) & (at < bins), at)
 
 
@@ -267,8 +274,6 @@ def chi2_sf(x: np.ndarray, dof: np.ndarray) -> np.ndarray:
             out[i] = 1.0
             continue
         a, z = k / 2.0, chi / 2.0
-        from math import exp, lgamma, log
-
         front = exp(-z + a * log(z) - lgamma(a))
         if z < a + 1:
             # Series for the lower tail.
