@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import quality, simhash
+from ebbline.llm import chat, quality, simhash, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -22,6 +22,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op4_topk_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, k=5, is_query=F.col("vec_id") % 50 == 0)
+
+
+SQL["op4_topk_ball_tree"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_sum(list_transform(range(1, len(q.w) + 1), lambda i: q.w[i] * c.w[i])) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.w) = len(c.w)
+  WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 5
+"""
+
+
 @query
 def op5_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -39,3 +63,38 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
         "doc_id", simhash.hex_digits(F.col("fingerprint")).alias("fingerprint"), "component_id", "links"
     )
+
+
+@query
+def op10_chat_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planted = spark.sql(
+        "SELECT CAST(-1 AS BIGINT) conv_id, CAST(i AS BIGINT) turn, IF(i = 0, 'user', 'assistant') role,"
+        " '</s>[INST] ok [/INST]' text FROM VALUES 0, 1 AS t(i)"
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
+    told = chat.conversations(chat.linear(rows))
+    turns, lost = chat.read_back(F.col("formatted")), chat.learned_text(F.col("formatted"), F.col("loss"))
+    said = F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return told.select(
+        F.col("tree").alias("conv_id"),
+        F.size(turns).cast("long").alias("n_turns"),
+        F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
+        F.length(lost).cast("long").alias("loss_chars"),
+        F.sha2(lost, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+SQL["op10_chat_reply_trees"] = r"""
+WITH r AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+  UNION ALL
+  SELECT -1, i, CASE WHEN i = 0 THEN 'user' ELSE 'assistant' END, '</s>[INST] ok [/INST]' FROM range(2) t(i)
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
+       CAST(sum(24 + length(regexp_replace(replace(role, chr(10), 'xx'), '([\\<\[])', '__', 'g')) + length(regexp_replace(text, '([\\<\[])', '__', 'g'))) AS BIGINT) AS formatted_chars
+FROM r GROUP BY conv_id
+"""

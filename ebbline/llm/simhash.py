@@ -76,6 +76,20 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+def _ball(k: int, value: Column, width: int, radius: int) -> Column:
+    """What a fingerprint looks up in segment ``k``: values at most ``radius`` bits away."""
+    flips = [c for r in range(radius + 1) for c in combinations(range(width), r)]
+    masks = F.array(*[
+        F.struct(F.lit(_signed(sum(1 << b for b in c))).cast("long").alias("mask"), F.lit(_signed(1 << c[0]) if c else 0).cast("long").alias("low"))
+        for c in flips
+    ])
+    masks = F.filter(masks, lambda m: value.bitwiseAND(m["low"]) == 0)
+    return F.transform(
+        masks,
+        lambda m: F.struct(F.lit(k).alias("k"), value.bitwiseXOR(m["mask"]).alias("at"), (m["mask"] == 0).alias("same")),
+    )
+
+
 def links(prints: DataFrame, *, distance: int = 3, segments: int = 2) -> DataFrame:
     """Pairs (u, v) of different values of ``fingerprint`` at most ``distance`` bits apart.
 
@@ -87,22 +101,8 @@ def links(prints: DataFrame, *, distance: int = 3, segments: int = 2) -> DataFra
     entries, probes = [], []
     for k, (shift, width) in enumerate(_segments(segments)):
         value = _value(fp, shift, width)
-        entries.append(F.struct(F.lit(k).alias("k"), value.alias("at"), F.lit(False).alias("same")))
-        balls = [c for r in range(distance // segments + 1) for c in combinations(range(width), r)]
-        masks = F.array(*[F.lit(_signed(sum(1 << b for b in c))) for c in balls])
-        lows = F.array(*[F.lit(_signed(1 << c[0]) if c else 0) for c in balls])
-        near = F.filter(
-            F.arrays_zip(masks.alias("mask"), lows.alias("low")),
-            lambda m, value=value: value.bitwiseAND(m["low"]) == 0,
-        )
-        probes.append(
-            F.transform(
-                near,
-                lambda m, value=value, k=k: F.struct(
-                    F.lit(k).alias("k"), value.bitwiseXOR(m["mask"]).alias("at"), (m["mask"] == 0).alias("same")
-                ),
-            )
-        )
+        entries.append(F.struct(F.lit(k).alias("k"), value.alias("at")))
+        probes.append(_ball(k, value, width, distance // segments))
     table = distinct.select(fp.alias("v"), F.explode(F.array(*entries)).alias("e")).select("v", "e.k", "e.at")
     probe = distinct.select(fp.alias("u"), F.explode(F.concat(*probes)).alias("e")).select("u", "e.k", "e.at", "e.same")
     return (
