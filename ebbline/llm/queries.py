@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import bpe, chat, decontaminate, quality, simhash, topk
+from ebbline.llm import bpe, chat, decontaminate, pii, quality, simhash, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -39,6 +39,18 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    return found.select(
+        "doc_id",
+        *[F.size(pii.of_kind(base, k)).cast("long").alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(pii.told(base), 256).alias("base_sha256"),
+        pii.told(F.col("spans")).alias("spans"),
+    )
+
+
 @query
 def op4_topk_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
