@@ -18,9 +18,11 @@ import base64
 import json
 
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ebbline.session import freeze
+
 FIRST = 0x20000
 BUCKETS = 1 << 14
 # Bounds of the second literal; it only saves folding, results do not depend on it.
@@ -47,13 +49,12 @@ def _last_merge(token: bytes, ranks: dict[bytes, int]) -> tuple[bytes, bytes] |
 
 
 def _slot(text: str, size: int) -> int:
-    """pmod(xxhash64(text), size) as Spark computes it."""
-    h = xxhash.xxh64_intdigest(text.encode(), 42)
-    return (h - (1 << 64) if h >> 63 else h) % size
+    """The low bits of xxhash64(text) as Spark computes it; ``size`` is a power of two."""
+    return xxhash.xxh64_intdigest(text.encode(), 42) & (size - 1)
 
 
 def _slot_column(text: Column, size: int) -> Column:
-    return F.pmod(F.xxhash64(text), F.lit(size)).cast("int")
+    return F.xxhash64(text).bitwiseAND(F.lit(size - 1))
 
 
 def let(value: Column, then) -> Column:
@@ -98,24 +99,25 @@ class Codec:
         word has pairs, of which those after the last merge only hand the state on.
         """
 
-        def merged(a: Column, b: Column) -> Column:
-            pair = F.concat(a, b)
+        def merged(pair: Column) -> Column:
             return F.try_element_at(F.get(merges, _slot_column(pair, BUCKETS)), pair)
 
-        def replace(s: Column, p: Column, to: Column, low: Column) -> Column:
+        def replace(s: Column, to: Column, low: Column) -> Column:
             at = F.array_position(to, low).cast("int")
-            pair = let(at, lambda i: F.concat(F.get(p, i - 1), F.get(p, i)))
-            return F.struct(F.replace(s, pair, low).alias("s"), F.lit(True).alias("more"))
+            return F.struct(F.replace(s, F.substr(s, at, F.lit(2)), low).alias("s"), F.lit(True).alias("more"))
+
+        def pairs(s: Column) -> Column:
+            # Taking substrings is fastest for words as they are; it walks the word anew
+            # for each pair, which very long ones are spared.
+            near = F.transform(F.sequence(F.lit(1), F.length(s) - 1), lambda i: merged(F.substr(s, i, F.lit(2))))
+            far = let(F.split(s, ""), lambda p: F.zip_with(p, F.slice(p, F.lit(2), F.size(p)), lambda a, b: merged(F.concat(a, b))))
+            return F.when(F.length(s) < 2, F.array().cast("array<string>")).when(F.length(s) <= 64, near).otherwise(far)
 
         def step(state: Column, _: Column) -> Column:
             s = state["s"]
             stop = F.struct(s.alias("s"), F.lit(False).alias("more"))
             merge = let(
-                F.split(s, ""),
-                lambda p: let(
-                    F.zip_with(p, F.slice(p, F.lit(2), F.size(p)), merged),
-                    lambda to: let(F.array_min(to), lambda low: F.when(low.isNull(), stop).otherwise(replace(s, p, to, low))),
-                ),
+                pairs(s), lambda to: let(F.array_min(to), lambda low: F.when(low.isNull(), stop).otherwise(replace(s, to, low)))
             )
             return F.when(state["more"], merge).otherwise(state)
 
@@ -129,23 +131,36 @@ class Codec:
     def kept(self, texts: DataFrame) -> Column:
         """The second literal: ids of the words that are most frequent over all texts.
 
-        At most KEPT_WORDS short words come to the driver.  Of words that share a slot the
-        most frequent stays.
+        All words are counted; those of at least the count that leaves at most KEPT_WORDS
+        are folded on the executors and come to the driver as two strings.  Of words that
+        share a slot the most frequent stays.
         """
-        often = (
+        often = freeze(
             texts.select(F.explode(self.words(F.col("text"))).alias("word"))
             .groupBy("word")
             .count()
-            .filter((F.col("count") > 1) & (F.octet_length("word") <= KEPT_BYTES) & ~F.contains("word", F.lit("\0")))
-            .orderBy(F.desc("count"), "word")
-            .limit(KEPT_WORDS)
+            .filter((F.col("count") > 1) & (F.octet_length("word") <= KEPT_BYTES) & ~F.rlike("word", F.lit("[\0\1]")))
+        )
+        # One row per different count; the counts below KEPT_WORDS ranks are few.
+        ranks = often.groupBy("count").agg(F.count(F.lit(1)).alias("words"))
+        above = Window.orderBy(F.desc("count"))
+        least = (
+            ranks.withColumn("upto", F.sum("words").over(above)).filter(F.col("upto") <= KEPT_WORDS).agg(F.min("count")).first()[0]
+        )
+        entry = F.concat("word", F.lit("\0"), let(self.merges, lambda m: self.fold(F.col("word"), m)))
+        table = (
+            often.filter(F.col("count") >= F.lit(least))
+            .groupBy(_slot_column(F.col("word"), SLOTS).alias("slot"))
+            .agg(F.max_by("word", F.struct("count", "word")).alias("word"))
+            .select("slot", entry.alias("entry"))
+            .agg(F.array_join(F.collect_list(F.col("slot").cast("string")), ",").alias("slots"), F.array_join(F.collect_list("entry"), "\1").alias("entries"))
+            .first()
         )
-        slots: list[str | None] = [None] * SLOTS
-        for word, ids in often.select("word", let(self.merges, lambda m: self.fold(F.col("word"), m)).alias("ids")).collect():
-            at = _slot(word, SLOTS)
-            if slots[at] is None:
-                slots[at] = f"{word}\0{ids}"
-        return F.from_json(F.lit(json.dumps(slots, ensure_ascii=False)), "array<string>")
+        slots = [""] * SLOTS
+        if table["slots"]:
+            for at, told in zip(table["slots"].split(","), table["entries"].split("\1")):
+                slots[int(at)] = told
+        return F.split(F.lit("\1".join(slots)), "\1")
 
     def encode(self, text: Column, kept: Column) -> Column:
         """Ids of a text as an array of integers."""
