@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import bpe, chat, decontaminate, pii, quality, simhash, topk
+from ebbline.llm import bpe, chat, decontaminate, fm_index, pii, quality, simhash, suffix_array, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -39,6 +39,28 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _removed(spans: str):
+    return F.aggregate(spans, F.lit(0).cast("long"), lambda a, s: a + (s["e"] - s["b"]))
+
+
+@query
+def op2_substring_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fm_index.dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.col("n_units").alias("n_words"), _removed("spans").alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+@query
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_array.dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        F.col("n_units").alias("n_bytes"),
+        _removed("spans").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op3_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.personal_data(table(spark, sf_dir, "documents"))
