@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import bpe, chat, decontaminate, fm_index, pii, quality, simhash, suffix_array, topk
+from ebbline.llm import bpe, chat, decontaminate, fm_index, pii, pseudo_likelihood, quality, simhash, suffix_array, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -151,6 +151,12 @@ FROM d LEFT JOIN counted USING (r) LEFT JOIN named USING (r)
 """
 
 
+@query
+def op8_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pseudo_likelihood.score(docs, pseudo_likelihood.train(docs))
+
+
 @query
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
