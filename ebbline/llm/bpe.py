@@ -2,7 +2,8 @@
 
 A word's byte array is held as a string with one character per piece: the character of
 rank r has code point ``FIRST + r``.  The ranks are one literal, an array of small maps
-from two neighbouring pieces to the piece they merge to, addressed by a hash of the pair.
+from two neighbouring pieces to the piece they merge to, followed by the pair, addressed by
+a hash of the pair.
 ``fold`` folds ranked merges over a word: each step merges the pair of the lowest rank
 wherever it stands, from left to right.  Words that are frequent in the corpus are folded
 once, and their ids are a second literal of at most ``KEPT_WORDS`` words; every other word
@@ -57,6 +58,15 @@ def _slot_column(text: Column, size: int) -> Column:
     return F.xxhash64(text).bitwiseAND(F.lit(size - 1))
 
 
+def _slots(text: str, size: int) -> tuple[int, int]:
+    h = xxhash.xxh64_intdigest(text.encode(), 42)
+    return h & (size - 1), (h >> 32) & (size - 1)
+
+
+def _second_slot(text: Column, size: int) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(text), 32).bitwiseAND(F.lit(size - 1))
+
+
 def let(value: Column, then) -> Column:
     """``then(value)`` with the value computed once."""
     return F.get(F.transform(F.array(value), then), 0)
@@ -74,7 +84,10 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         char = {token: chr(FIRST + rank) for token, rank in ranks.items()}
         buckets: list[dict[str, str]] = [{} for _ in range(BUCKETS)]
-        pieces = [""] * (max(ranks.values()) + 1)
+        self.size = len(ranks)
+        if sorted(ranks.values()) != list(range(self.size)):
+            raise ValueError("ranks are not 0, 1, 2, ...")
+        pieces = [""] * self.size
         for token, rank in ranks.items():
             pieces[rank] = token.decode("latin-1")
             if len(token) > 1:
@@ -82,7 +95,7 @@ class Codec:
                 if pair is None:
                     raise ValueError(f"no two tokens of lower rank merge to {token!r}")
                 key = char[pair[0]] + char[pair[1]]
-                buckets[_slot(key, BUCKETS)][key] = char[token]
+                buckets[_slot(key, BUCKETS)][key] = char[token] + key
         self.pattern = f"(?U){pattern}"
         self.merges = F.from_json(F.lit(json.dumps(buckets, ensure_ascii=False)), "array<map<string,string>>")
         self.pieces = F.from_json(F.lit(json.dumps(pieces)), "array<string>")
@@ -102,9 +115,9 @@ class Codec:
         def merged(pair: Column) -> Column:
             return F.try_element_at(F.get(merges, _slot_column(pair, BUCKETS)), pair)
 
-        def replace(s: Column, to: Column, low: Column) -> Column:
-            at = F.array_position(to, low).cast("int")
-            return F.struct(F.replace(s, F.substr(s, at, F.lit(2)), low).alias("s"), F.lit(True).alias("more"))
+        def replace(s: Column, low: Column) -> Column:
+            to, pair = F.substr(low, F.lit(1), F.lit(1)), F.substr(low, F.lit(2), F.lit(2))
+            return F.struct(F.replace(s, pair, to).alias("s"), F.lit(True).alias("more"))
 
         def pairs(s: Column) -> Column:
             # Taking substrings is fastest for words as they are; it walks the word anew
@@ -116,9 +129,8 @@ class Codec:
         def step(state: Column, _: Column) -> Column:
             s = state["s"]
             stop = F.struct(s.alias("s"), F.lit(False).alias("more"))
-            merge = let(
-                pairs(s), lambda to: let(F.array_min(to), lambda low: F.when(low.isNull(), stop).otherwise(replace(s, to, low)))
-            )
+            # The merged piece comes first in an entry, so the least entry has the lowest rank.
+            merge = let(F.array_min(pairs(s)), lambda low: F.when(low.isNull(), stop).otherwise(replace(s, low)))
             return F.when(state["more"], merge).otherwise(state)
 
         def ids(state: Column) -> Column:
@@ -132,8 +144,8 @@ class Codec:
         """The second literal: ids of the words that are most frequent over all texts.
 
         All words are counted; those of at least the count that leaves at most KEPT_WORDS
-        are folded on the executors and come to the driver as two strings.  Of words that
-        share a slot the most frequent stays.
+        are folded on the executors and come to the driver as one string, the most frequent
+        first.  A word has two slots; where both are taken it is not kept.
         """
         often = freeze(
             texts.select(F.explode(self.words(F.col("text"))).alias("word"))
@@ -148,30 +160,31 @@ class Codec:
             ranks.withColumn("upto", F.sum("words").over(above)).filter(F.col("upto") <= KEPT_WORDS).agg(F.min("count")).first()[0]
         )
         entry = F.concat("word", F.lit("\0"), let(self.merges, lambda m: self.fold(F.col("word"), m)))
-        table = (
+        told = (
             often.filter(F.col("count") >= F.lit(least))
-            .groupBy(_slot_column(F.col("word"), SLOTS).alias("slot"))
-            .agg(F.max_by("word", F.struct("count", "word")).alias("word"))
-            .select("slot", entry.alias("entry"))
-            .agg(F.array_join(F.collect_list(F.col("slot").cast("string")), ",").alias("slots"), F.array_join(F.collect_list("entry"), "\1").alias("entries"))
-            .first()
+            .select(F.struct(-F.col("count"), entry.alias("entry")).alias("e"))
+            .agg(F.array_join(F.array_sort(F.collect_list("e")).getField("entry"), "\1"))
+            .first()[0]
         )
         slots = [""] * SLOTS
-        if table["slots"]:
-            for at, told in zip(table["slots"].split(","), table["entries"].split("\1")):
-                slots[int(at)] = told
+        for one in told.split("\1") if told else ():
+            for at in _slots(one[: one.index("\0")], SLOTS):
+                if not slots[at]:
+                    slots[at] = one
+                    break
         return F.split(F.lit("\1".join(slots)), "\1")
 
     def encode(self, text: Column, kept: Column) -> Column:
         """Ids of a text as an array of integers."""
 
         def word_ids(word: Column, merges: Column, kept: Column) -> Column:
-            return let(
-                F.get(kept, _slot_column(word, SLOTS)),
-                lambda entry: F.when(
-                    F.startswith(entry, F.concat(word, F.lit("\0"))), F.substr(entry, F.length(word) + 2)
-                ).otherwise(self.fold(word, merges)),
+            key = F.concat(word, F.lit("\0"))
+            ids = lambda entry: F.substr(entry, F.length(word) + 2)
+            second = let(
+                F.get(kept, _second_slot(word, SLOTS)),
+                lambda entry: F.when(F.startswith(entry, key), ids(entry)).otherwise(self.fold(word, merges)),
             )
+            return let(F.get(kept, _slot_column(word, SLOTS)), lambda entry: F.when(F.startswith(entry, key), ids(entry)).otherwise(second))
 
         def joined(words: Column) -> Column:
             told = let(self.merges, lambda m: let(kept, lambda k: F.array_join(F.transform(words, lambda w: word_ids(w, m, k)), " ")))
@@ -182,7 +195,7 @@ class Codec:
     def decode(self, ids: Column) -> Column:
         """The bytes of an array of ids; null if an id is not in the vocabulary."""
         held = let(self.pieces, lambda p: F.transform(ids, lambda i: F.get(p, i)))
-        known = F.forall(held, lambda piece: piece.isNotNull())
+        known = (F.size(ids) == 0) | ((F.array_min(ids) >= 0) & (F.array_max(ids) < self.size))
         return F.when(known, F.encode(F.array_join(held, ""), "ISO-8859-1"))
 
 
