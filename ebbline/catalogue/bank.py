@@ -21,6 +21,8 @@ from ebbline.sources.io import read_table
 
 RUN_DATE = dt.date(2001, 8, 2)
 MONEY = "decimal(18,2)"
+# Invented codes of the one brand and system in these tables.
+BRAND, SOURCE = "EX", "LEDGER"
 
 SEGMENT_KIND = {
     "BUILDING": "Home Loan",
@@ -74,7 +76,7 @@ class Bank:
         return read_table(self.spark, f"{self.sf_dir}/{name}.parquet")
 
     def _branded(self, df: DataFrame, *cols: str | Column) -> DataFrame:
-        return df.select(*cols, F.lit("NP").alias("Brand"), F.lit("HOST_CBS").alias("Source"))
+        return df.select(*cols, F.lit(BRAND).alias("Brand"), F.lit(SOURCE).alias("Source"))
 
     @cached_property
     def orders(self) -> DataFrame:
@@ -148,7 +150,7 @@ class Bank:
             F.col("closed").alias("ClosedDateTimeAEDT"),
             F.add_months("opened", 120).alias("MaturityDate"),
             F.col("largest").alias("ApprovedAmount"),
-            (F.col("balance") + F.col("f")).cast(MONEY).alias("FinancedAmount"),
+            (F.col("balance") + F.col("f") + F.col("o")).cast(MONEY).alias("FinancedAmount"),
             F.col("balance").alias("BalanceAmount"),
             F.col("f").alias("InAdvanceAmount"),
             F.col("o").alias("ArrearsAmount"),
@@ -231,8 +233,9 @@ class Bank:
     @cached_property
     def address(self) -> DataFrame:
         kind = F.when(F.col("l_linestatus") == "O", "Postal").otherwise("Residential")
+        # Every other client stays where it is.
         street = self.lines.groupBy("l_suppkey", "m", kind.alias("kind")).agg(
-            _letter(F.max(F.ascii("l_returnflag"))).alias("street")
+            F.when(F.col("l_suppkey") % 2 == 0, "A").otherwise(_letter(F.max(F.ascii("l_returnflag")))).alias("street")
         )
         return self._branded(
             street,

@@ -28,7 +28,7 @@ account AS (
          repay AS RepaymentTypeDescription, product AS LoanProductTypeDescription,
          opened AS CreationDateTimeAEDT, closed AS ClosedDateTimeAEDT,
          CAST(opened + INTERVAL 120 MONTH AS DATE) AS MaturityDate,
-         largest AS ApprovedAmount, balance + f AS FinancedAmount, balance AS BalanceAmount,
+         largest AS ApprovedAmount, balance + f + ob AS FinancedAmount, balance AS BalanceAmount,
          f AS InAdvanceAmount, ob AS ArrearsAmount, p AS AvailableForRedrawAmount,
          round(CAST(f AS DOUBLE) / CAST(balance AS DOUBLE) / 10, 4) AS InterestRate,
          round(CAST(largest AS DOUBLE) / CAST(balance AS DOUBLE), 4) AS ActualLoanValueRatio,
@@ -72,7 +72,7 @@ security AS (
 address AS (
   SELECT CAST(l_suppkey AS VARCHAR) AS ClientNumber,
          CASE WHEN l_linestatus = 'O' THEN 'Postal' ELSE 'Residential' END AS AddressTypeDescription,
-         max(l_returnflag) AS StreetAddressName1, m AS EndOfDayDate
+         CASE WHEN l_suppkey % 2 = 0 THEN 'A' ELSE max(l_returnflag) END AS StreetAddressName1, m AS EndOfDayDate
   FROM ln GROUP BY l_suppkey, m, 2),
 offset_bridge AS (
   SELECT DISTINCT '0' || CAST(o.o_custkey AS VARCHAR) AS AccountNumber,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline.catalogue import bank_sql as S
-from ebbline.catalogue.bank import RUN_DATE, Bank
+from ebbline.catalogue.bank import BRAND, RUN_DATE, SOURCE, Bank
 from ebbline.catalogue.registry import query
 from ebbline.functions.dates import age_years, asof_dates, at_snapshot, month_diff, month_ends
 from ebbline.operators import features as fe
@@ -28,13 +28,19 @@ RUN = churn.ChurnRun(ASOF, RUN_DATE, START, END, dt.date(2000, 6, 30))
 _KEY = "as_of_date date, AccountNumber string"
 
 
+# Slopes per second need more places than amounts.
+SLOPE_KINDS = {"RatesSlope": "double:15", "LVRSlope": "double:15"} | {
+    n: "double:10" for n in ("BalanceSlope", "AdvanceSlope", "ArrearsSlope", "OffsetBalanceSlope")
+}
+
+
 def tables(spark: SparkSession, sf_dir: str) -> churn.ChurnTables:
     return bank_tables(Bank(spark, sf_dir))
 
 
 def bank_tables(b: Bank) -> churn.ChurnTables:
     branded = {
-        n: fe.one_source(getattr(b, n))
+        n: fe.one_source(getattr(b, n), BRAND, SOURCE)
         for n in (
             "account",
             "account_now",
@@ -79,8 +85,8 @@ FROM (SELECT o_custkey, m, sum(total) AS amount, max(total) AS largest, count(*)
 
 @query(
     "account_trends",
-    "o_custkey bigint, m date, amount_slope double, amount_change double, largest_slope double,"
-    "largest_change double, n_orders_slope double, n_orders_change double",
+    "o_custkey bigint, m date, amount_slope double:10, amount_change double, largest_slope double:10,"
+    "largest_change double, n_orders_slope double:15, n_orders_change double",
     sql=_MONTHLY_SQL,
 )
 def q_account_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,7 +101,7 @@ def q_account_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "account_features",
     "AccountNumber string, EndOfDayDate date, OffsetBalance double,"
-    + ",".join(f"{n} double" for pair in fe.ACCOUNT_TRENDS.values() for n in pair),
+    + ",".join(f"{n} {SLOPE_KINDS.get(n, 'double')}" for pair in fe.ACCOUNT_TRENDS.values() for n in pair),
     ctes=S.BANK + "," + S.ACCOUNT_TREND,
     sql="SELECT * FROM account_trend",
 )
@@ -180,7 +186,7 @@ def q_month_spine_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "txn_trends",
     "HomeLoanAccountNumber string, TransactionMonth date,"
-    + ",".join(f"{n} double" for pair in tx.TRANSACTION_TRENDS.values() for n in pair)
+    + ",".join(f"{n} double:9" for pair in tx.TRANSACTION_TRENDS.values() for n in pair)
     + ", HasHomeLoanPayments boolean, HasOtherLoanPayments boolean, HasLargePayments boolean,"
     "LoanPaymentsFromExternalBanks boolean",
     ctes=S.BANK + "," + S.TXN_TREND,
@@ -457,8 +463,8 @@ ASSEMBLY = (
     Median_days_on_market_for_properties_sold_in_last_12_months double, Average_hold_period double,
     AddressChangedIn6M int, SecurityCompetitiveness double, CurrentHoldings double,
     CurrentlyOwingLoans double, IncomeLeft double, DTI double, NSR double, CurrentAdvanceAmount double,
-    CurrentArrearsAmount double, BalanceSlope double, AdvanceSlope double, ArrearsSlope double,
-    RatesSlope double, LVRSlope double, OffsetBalanceSlope double, BalanceRelChange double,
+    CurrentArrearsAmount double, BalanceSlope double:10, AdvanceSlope double:10, ArrearsSlope double:10,
+    RatesSlope double:15, LVRSlope double:15, OffsetBalanceSlope double:10, BalanceRelChange double,
     AdvanceRelChange double, RateRelChange double, LvrRelChange double, OffsetBalRelChange double,
     InterestRateDecile int, DiffFromMarketrate double, ActualLoanValueRatio double,
     Savings_Credit_Slope double, Savings_Debit_Slope double, Lending_Credit_Slope double,

@@ -20,26 +20,29 @@ def fields(spec: str) -> list[tuple[str, str]]:
     return [tuple(part.split()) for part in spec.split(",")]
 
 
-# Values such as x / 28 often lie exactly on a rounding edge, where the last bit decides.
-# A fixed offset far below the sixth place moves them off the edge on both sides.
-OFF_EDGE = "3e-9"
+# Decimal places of a double, unless its kind names others ("double:15").
+PLACES = 6
+
+
+def places(kind: str) -> int:
+    return int(kind.partition(":")[2] or PLACES)
 
 
 def shape(df: DataFrame, spec: str) -> DataFrame:
-    """Select and cast; doubles to six places, without a negative zero."""
+    """Select and cast; doubles to their number of places, without a negative zero."""
     cols = []
     for name, kind in fields(spec):
-        c = F.col(name).cast(kind)
-        cols.append((F.round(c + F.lit(float(OFF_EDGE)), 6) + F.lit(0.0) if kind == "double" else c).alias(name))
+        c = F.col(name).cast(kind.partition(":")[0])
+        cols.append((F.round(c, places(kind)) + F.lit(0.0) if kind.startswith("double") else c).alias(name))
     return df.select(*cols)
 
 
 def shaped_sql(spec: str, ctes: str, body: str) -> str:
     cols = []
     for name, kind in fields(spec):
-        c = f"CAST({name} AS {SQL_TYPES[kind]})"
-        if kind == "double":
-            c = f"round({c} + {OFF_EDGE}, 6) + CAST(0 AS DOUBLE)"
+        c = f"CAST({name} AS {SQL_TYPES[kind.partition(':')[0]]})"
+        if kind.startswith("double"):
+            c = f"round({c}, {places(kind)}) + CAST(0 AS DOUBLE)"
         cols.append(f"{c} AS {name}")
     head = f"WITH {ctes}\n" if ctes else ""
     return f"{head}SELECT {', '.join(cols)} FROM (\n{body}\n) AS q"

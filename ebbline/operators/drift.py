@@ -11,10 +11,12 @@ from __future__ import annotations
 
 from functools import reduce
 from math import exp, lgamma, log
+import sys
 from typing import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +24,9 @@ from pyspark.sql import types as T
 from ebbline.functions.scalars import no_nan, ratio
 from ebbline.operators.ordered import prefix_sums
 
+# The p-value function travels to the workers by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 PSI_BINS = 10
 PSI_EDGE_MARGIN = 0.1
 PSI_SMOOTHING = 0.0001
@@ -37,7 +42,7 @@ def split_columns(df: DataFrame) -> tuple[list[str], list[str]]:
 
 def _long(df: DataFrame, cols: Sequence[str], dtype: str) -> DataFrame:
     def value(c: str) -> Column:
-        v = F.col(f"`{c}`").cast(dtype)
+        v = F.col(f"`{c}`").try_cast(dtype)
         return no_nan(v) if dtype == "double" else v
 
     entries = [F.struct(F.lit(c).alias("feature"), value(c).alias("value")) for c in cols]

@@ -23,14 +23,14 @@ from ebbline.functions.scalars import (
     remap,
 )
 from ebbline.operators.joins import latest_as_of, open_or_closed_within, valid_at
-from ebbline.operators.ordered import PLAIN_WINDOW_ROWS, largest_group, ntile, prefix_sums
+from ebbline.operators.ordered import ntile, prefix_sums
 from ebbline.operators.trends import account_trends
 
 KEY = ["as_of_date", "AccountNumber"]
 LOAN_KINDS = ["Home Loan", "Commercial Loan", "Personal Loan"]
 
 
-def one_source(df: DataFrame, brand: str = "NP", source: str = "HOST_CBS") -> DataFrame:
+def one_source(df: DataFrame, brand: str, source: str) -> DataFrame:
     """Rows of one brand and source system (PF3)."""
     return df.filter((F.col("Brand") == brand) & (F.col("Source") == source))
 
@@ -296,8 +296,6 @@ def later_repayments(
     cmap: DataFrame,
     accounts: DataFrame,
     loan_instalments: DataFrame,
-    *,
-    plain_rows: int = PLAIN_WINDOW_ROWS,
 ) -> DataFrame:
     """Repayments on open loans the same clients took after the base loan (FE12).
 
@@ -349,8 +347,6 @@ def later_repayments(
         client,
         ["_opened"],
         sums,
-        largest_group=largest_group(cmap, client),
-        plain_rows=plain_rows,
     )
     totals = paid.groupBy(*client).agg(*[F.coalesce(F.sum(s), F.lit(0)).alias(f"_all{s}") for s in sums])
     after = holders.join(running.drop(*sums), [*client, "_opened"]).join(totals, client)

@@ -18,10 +18,6 @@ from pyspark.sql import functions as F
 
 from ebbline.session import freeze
 
-# A group up to this many rows is left to one plain window.
-PLAIN_WINDOW_ROWS = 1_000_000
-
-
 def _buckets(df: DataFrame, buckets: int | None) -> int:
     return buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -39,20 +35,13 @@ def prefix_sums(
     order: Sequence[str],
     values: Sequence[str],
     *,
-    largest_group: int | None = None,
-    plain_rows: int = PLAIN_WINDOW_ROWS,
     buckets: int | None = None,
 ) -> DataFrame:
     """Add ``cum_<value>``: the inclusive running sum per key in ``order``.
 
-    ``order`` must be unique within a key (aggregate ties first).  When the caller has
-    measured that no group exceeds ``plain_rows``, a plain window per key does it.
+    ``order`` must be unique within a key (aggregate ties first).
     """
     keys, order = list(keys), list(order)
-    if largest_group is not None and largest_group <= plain_rows:
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumns({f"cum_{v}": F.sum(v).over(w) for v in values})
-
     placed = freeze(
         df.repartitionByRange(_buckets(df, buckets), *keys, *order).withColumn(
             "_bucket", F.spark_partition_id()
@@ -85,11 +74,6 @@ def prefix_sums(
     return joined.select(*plain, *sums)
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the largest group; one number comes to the driver."""
-    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-
-
 def row_ranks(
     df: DataFrame,
     keys: Sequence[str],

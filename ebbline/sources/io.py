@@ -74,8 +74,20 @@ def exists(spark: SparkSession, target: str) -> bool:
     try:
         spark.read.parquet(target)
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as error:
+        # Anything but a missing path or an empty folder is the caller's to see.
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+
+
+def _in_order(df: DataFrame, target: str) -> DataFrame:
+    """``df`` in the column order of an existing table; columns it lacks are an error."""
+    columns = read_table(df.sparkSession, target).columns
+    extra = sorted(set(df.columns) - set(columns))
+    if extra:
+        raise ValueError(f"{target} has no columns {extra}")
+    return df.select(*columns)
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -95,10 +107,13 @@ def overwrite(df: DataFrame, target: str, partition_by: tuple[str, ...] = ()) ->
 
 
 def append(df: DataFrame, target: str) -> int:
-    """Append rows, in the column order of the table when it exists (IO9)."""
+    """Append rows, in the column order of the table when it exists (IO9).
+
+    Columns that the table does not have are an error.
+    """
     spark = df.sparkSession
     if exists(spark, target):
-        df = df.select(*read_table(spark, target).columns)
+        df = _in_order(df, target)
     counted, seen = _counted(df)
     _save(counted.write.mode("append"), target)
     return seen.get["rows"]
@@ -114,7 +129,7 @@ def upsert_batch(df: DataFrame, target: str, batch_col: str = "score_batch_id")
     if not exists(spark, target):
         return overwrite(df, target, (batch_col,))
     # insertInto writes by position, so the order of the target is the contract.
-    counted, seen = _counted(df.select(*read_table(spark, target).columns))
+    counted, seen = _counted(_in_order(df, target))
     writer = counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if "/" in target:
         writer.partitionBy(batch_col).parquet(target)

@@ -143,6 +143,15 @@ def test_writers_count_order_and_increment(spark, tmp_path):
     log = str(tmp_path / "log")
     assert io.append(df.drop("compute_date"), log) == 2
     assert io.append(df.select("y", "x"), log) == 2
+    with pytest.raises(ValueError, match="no columns"):
+        io.append(df, log)
+    with pytest.raises(ValueError, match="no columns"):
+        io.upsert_batch(df.withColumn("z", F.lit(1)), path, "compute_date")
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part-0.parquet").write_text("not a table")
+    with pytest.raises(Exception):
+        io.exists(spark, str(tmp_path / "broken"))
+    assert not io.exists(spark, str(tmp_path / "missing"))
     assert io.read_table(spark, log).filter("x = 1 and y = 'a'").count() == 2
     sql = io.run_sql(spark, "select count(*) n from {t} where x > :low", {"t": df}, {"low": 1})
     assert sql.first().n == 1

@@ -25,8 +25,6 @@ def test_prefix_sums_equal_a_plain_window(spark, buckets):
     want = df.withColumn("cum_v", F.sum("v").over(w))
     got = prefix_sums(df, ["k"], ["o"], ["v"], buckets=buckets)
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
-    plain = prefix_sums(df, ["k"], ["o"], ["v"], largest_group=1000)
-    assert plain.exceptAll(want).isEmpty()
 
 
 def test_prefix_sums_with_null_key_and_no_key(spark):

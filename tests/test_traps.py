@@ -184,8 +184,7 @@ def test_joint_account_weights(spark):
     assert got.TotalMonthlyRepayments == Decimal("100")
 
 
-@pytest.mark.parametrize("plain_rows", [1_000_000, 0], ids=["window", "buckets"])
-def test_later_loans_equal_brute_force(spark, plain_rows):
+def test_later_loans_equal_brute_force(spark):
     """One client holds every account; opening times tie, and some loans pay nothing."""
     t0 = dt.datetime(2019, 1, 1)
     loans = {
@@ -193,7 +192,7 @@ def test_later_loans_equal_brute_force(spark, plain_rows):
     }
     holders = [(a, "hot", "0.5") for a in loans] + [(a, f"c{int(a) % 4}", "0.25") for a in loans]
     accounts, cmap, paid, base = loan_world(spark, loans, holders)
-    out = fe.later_repayments(ASOF, base, cmap, accounts, paid, plain_rows=plain_rows)
+    out = fe.later_repayments(ASOF, base, cmap, accounts, paid)
     got = {r.AccountNumber: r.AdditionalRepayments for r in out.collect()}
     want = {}
     for b, (opened, _) in loans.items():
