@@ -328,13 +328,15 @@ def _kept_batch(part: pa.RecordBatch, u: Units, gone: np.ndarray, spec: Spec) ->
     last = u.first[1:][u.first[1:] > u.first[:-1]] - 1
     stop[last] = gone[last]
     b, e = np.flatnonzero(edge), np.flatnonzero(stop) + 1
+    ids = part.column("doc").to_numpy()
     per = np.bincount(doc[b], minlength=part.num_rows)
     spans = pa.ListArray.from_arrays(
         pa.array(np.concatenate(([0], np.cumsum(per))), pa.int32()),
         pa.StructArray.from_arrays([pa.array((b - u.first[doc[b]]).astype(np.int32)), pa.array((e - u.first[doc[b]]).astype(np.int32))], ["b", "e"]),
     )
     return pa.record_batch(
-        [part.column("id"), pa.array(np.diff(u.first)), spans, kept.cast(pa.binary())], ["doc_id", "n_units", "spans", "kept"]
+        [pa.array(ids, mask=ids == NO_ID), pa.array(np.diff(u.first)), spans, kept.cast(pa.binary())],
+        ["doc_id", "n_units", "spans", "kept"],
     )
 
 
@@ -342,14 +344,15 @@ def remove(docs: DataFrame, spec: Spec, *, id_col: str, text_col: str) -> DataFr
     """(doc_id, n_units, spans, kept) for every row: spans (b, e) of removed units, sorted
     and apart, and the bytes of what is left (words joined by one space).
 
-    Null texts are empty.  A row without an id counts as later than all others.  Rows of
+    Null texts are empty.  A row without an id counts as later than all others (and the
+    largest long is returned as no id).  Rows of
     one id are not earlier than each other.
     """
     base = docs.select(
-        F.col(id_col).cast("long").alias("id"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
     ).withColumn("h", F.hash("text"))
+    # All three uses of the texts ask for the same columns, so they share one shuffle.
     # Texts that an earlier document has as a whole.
     seen = base.select("doc", "h", F.xxhash64("text").alias("x"), F.octet_length("text").alias("size"))
     earliest = seen.groupBy("x", "h", "size").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first < last")
@@ -391,6 +394,6 @@ def remove(docs: DataFrame, spec: Spec, *, id_col: str, text_col: str) -> DataFr
     none = F.array().cast("array<struct<h:int,b:int,e:int>>")
     return (
         texts.join(spans.hint("shuffle_hash"), "doc", "left")
-        .select("id", "text", "h", "copied", F.coalesce("spans", none).alias("spans"))
+        .select("doc", "text", "h", "copied", F.coalesce("spans", none).alias("spans"))
         .mapInArrow(_applied(spec), "doc_id long, n_units long, spans array<struct<b:int,e:int>>, kept binary")
     )
