@@ -26,16 +26,21 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _gaps(df: DataFrame) -> DataFrame:
     """The table has no NULLs, so zero taxes and discounts, and one flag, become gaps."""
-    return df.select(
-        "l_orderkey",
-        F.expr("nullif(l_tax, 0.0D)").alias("l_tax"),
-        F.expr("nullif(l_discount, 0.0D)").alias("l_discount"),
-        F.expr("nullif(l_linestatus, 'F')").alias("l_linestatus"),
+    return df.withColumns(
+        {
+            "l_tax": F.expr("nullif(l_tax, 0.0D)"),
+            "l_discount": F.expr("nullif(l_discount, 0.0D)"),
+            "l_linestatus": F.expr("nullif(l_linestatus, 'F')"),
+        }
     )
 
 
-_GAPS = """g AS (SELECT l_orderkey, nullif(l_tax, 0) AS l_tax, nullif(l_discount, 0) AS l_discount,
-  nullif(l_linestatus, 'F') AS l_linestatus FROM lineitem)"""
+_GAPS = """g AS (SELECT * REPLACE (nullif(l_tax, 0) AS l_tax, nullif(l_discount, 0) AS l_discount,
+  nullif(l_linestatus, 'F') AS l_linestatus) FROM lineitem)"""
+LINE_COLUMNS = (
+    "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax "
+    "l_returnflag l_linestatus l_shipdate"
+).split()
 
 
 def _missing_sql(col: str) -> str:
@@ -50,7 +55,7 @@ def _missing_sql(col: str) -> str:
     "dq_missing",
     "column_name string, null_count bigint, null_percentage double, valid boolean",
     ctes=_GAPS,
-    sql=" UNION ALL ".join(_missing_sql(c) for c in ("l_orderkey", "l_tax", "l_discount", "l_linestatus")),
+    sql=" UNION ALL ".join(_missing_sql(c) for c in LINE_COLUMNS),
 )
 def q_dq_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = quality.check_missing_values(_gaps(lines(spark, sf_dir)), 0.4)
@@ -97,6 +102,8 @@ UNION ALL SELECT 'duplicate_check', 'l_orderkey,l_linenumber', k, v, t = u FROM
 UNION ALL SELECT 'range_check', 'l_tax', k, v, true FROM
   (SELECT unnest(['count', 'mean', 'stddev', 'min', 'max']) AS k,
           unnest([CAST(count(l_tax) AS DOUBLE), avg(l_tax), stddev_samp(l_tax), min(l_tax), max(l_tax)]) AS v FROM g)
+UNION ALL SELECT 'table_check', '', 'total_rows', count(*), true FROM g
+UNION ALL SELECT 'table_check', '', 'total_columns', 11, true
 UNION ALL SELECT 'overall', '', 'valid', NULL,
   (SELECT bool_and(p <= 0.5) FROM nulls) AND (SELECT t = u FROM dup)
 """
@@ -105,14 +112,14 @@ UNION ALL SELECT 'overall', '', 'valid', NULL,
 @query(
     "dq_all",
     "check_name string, column_name string, metric string, value double, valid boolean",
-    ctes="""g AS (SELECT l_orderkey, l_linenumber, nullif(l_tax, 0) AS l_tax, nullif(l_linestatus, 'F') AS l_linestatus
-            FROM lineitem),
+    ctes=_GAPS
+    + """,
 nulls AS (
 """
     + " UNION ALL ".join(
         f"SELECT '{c}' AS c, CAST(count(*) - count({c}) AS DOUBLE) AS n, "
         f"CAST(count(*) - count({c}) AS DOUBLE) / count(*) AS p FROM g"
-        for c in ("l_orderkey", "l_linenumber", "l_tax", "l_linestatus")
+        for c in LINE_COLUMNS
     )
     + """),
 dup AS (SELECT (SELECT CAST(count(*) AS DOUBLE) FROM g) AS t,
@@ -120,12 +127,7 @@ dup AS (SELECT (SELECT CAST(count(*) AS DOUBLE) FROM g) AS t,
     sql=_ALL_SQL,
 )
 def q_dq_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = lines(spark, sf_dir).select(
-        "l_orderkey",
-        "l_linenumber",
-        F.expr("nullif(l_tax, 0.0D)").alias("l_tax"),
-        F.expr("nullif(l_linestatus, 'F')").alias("l_linestatus"),
-    )
+    df = _gaps(lines(spark, sf_dir))
     report = quality.run_all_checks(df, ["l_orderkey", "l_linenumber"], ["l_tax"])
     return report.withColumnsRenamed({"check": "check_name", "column": "column_name"})
 

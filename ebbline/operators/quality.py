@@ -126,7 +126,10 @@ def run_all_checks(
     *,
     max_null_pct: float = 0.5,
 ) -> DataFrame:
-    """All checks as check, column, metric, value, valid, and an ``overall`` row (QC4)."""
+    """All checks as check, column, metric, value, valid, and an ``overall`` row (QC4).
+
+    The check ``table_check`` gives the number of rows and of columns.
+    """
     report = _long(check_missing_values(df, max_null_pct), "null_check", ["null_count", "null_percentage"])
     if key_columns:
         dup = check_duplicates(df, key_columns).withColumn("column", F.lit(",".join(key_columns)))
@@ -140,6 +143,10 @@ def run_all_checks(
     if numeric_cols:
         ranges = check_value_ranges(df, numeric_cols)
         report = report.unionByName(_long(ranges, "range_check", list(STATS)))
+    size = df.agg(F.count(F.lit(1)).alias("total_rows")).select(
+        F.lit("").alias("column"), "total_rows", F.lit(len(df.columns)).alias("total_columns"), F.lit(True).alias("valid")
+    )
+    report = report.unionByName(_long(size, "table_check", ["total_rows", "total_columns"]))
     # Each row also feeds the overall row, so the table is not measured a second time.
     overall = F.struct(F.lit("overall").alias("check"), F.lit("").alias("column"), F.lit("valid").alias("metric"))
     own = F.struct("check", "column", "metric")
