@@ -15,7 +15,7 @@ from ebbline.llm import repeats
 from ebbline.llm.words import ragged
 
 LENGTH = 50
-GRAM = 20
+GRAM = 16
 Q = 8
 
 
