@@ -27,9 +27,9 @@ from ebbline.session import freeze
 FIRST = 0x20000
 BUCKETS = 1 << 14
 # Bounds of the second literal; it only saves folding, results do not depend on it.
-KEPT_WORDS = 1 << 18
+KEPT_WORDS = 1 << 17
 KEPT_BYTES = 48
-SLOTS = 1 << 19
+SLOTS = 1 << 18
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
