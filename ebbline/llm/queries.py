@@ -154,7 +154,7 @@ FROM d LEFT JOIN counted USING (r) LEFT JOIN named USING (r)
 @query
 def op8_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return pseudo_likelihood.score(docs, pseudo_likelihood.train(docs))
+    return pseudo_likelihood.train_and_score(docs)
 
 
 @query
