@@ -9,7 +9,9 @@ words or bytes; a window is ``length`` units of one document.
 2. Each run of windows with a repeated anchor is cut out with its text and sent to the shard
    of its anchor.  Equal windows meet there, and nowhere else.
 3. A shard's index tells for every window the smallest document it starts in; where that is
-   smaller than the row's own, the window is reported as a span.
+   smaller than the row's own, the window is reported as a span.  An anchor with more text
+   than ``CHUNK_BYTES`` is not indexed: its windows are sent on by two 64-bit hashes of the
+   whole window, and the smallest document of each is found in sorted order.
 
 Full copies of an earlier document are settled by hash before.  What many documents share
 within one slice of a partition is settled there: one row of it goes to the shard, and the
@@ -211,10 +213,16 @@ def _merged(row: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, n
 
 
 def _index(spec: Spec):
-    """Spans (doc, h, b, e) of the pieces of a shard, in chunks of whole anchors."""
+    """Spans (doc, h, b, e) of the pieces of a shard, in chunks of whole anchors.
 
-    def spans(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-        table = pa.Table.from_batches(rows).combine_chunks()
+    Of an anchor that does not fit a chunk the windows are given out, see ``_window_rows``.
+    """
+
+    def windows(table: pa.Table):
+        yield from _window_rows(spec, table)
+
+    def spans(table: pa.Table):
+        table = table.combine_chunks()
         coded = table.column("piece").chunk(0).cast(pa.large_binary()).dictionary_encode()
         doc, h, b = (table.column(c).to_numpy() for c in ("doc", "h", "b"))
         which = coded.indices.to_numpy()
@@ -229,48 +237,107 @@ def _index(spec: Spec):
         window = W.ragged(np.zeros(len(doc), np.int64), count[which])
         hit = firsts[begin[which][row] + window] < doc[row]
         r, x, y = _merged(row[hit], window[hit], spec.length)
-        return _span_batch(doc[r], h[r], b[r] + x, b[r] + y)
+        yield _span_batch(doc[r], h[r], b[r] + x, b[r] + y)
+
+    def handled(table: pa.Table, heavy: int | None):
+        if table.num_rows:
+            open_ = table.column("a").to_numpy() == heavy if heavy is not None else np.zeros(table.num_rows, bool)
+            for mask, of in ((open_, windows), (~open_, spans)):
+                if mask.any():
+                    yield from of(table.filter(pa.array(mask)))
 
     def found(batches):
-        waiting, size = [], 0
+        waiting, size, heavy = [], 0, None
         for batch in batches:
             settled = batch.column("piece").is_null().to_numpy(zero_copy_only=False)
             if settled.any():
                 done = batch.filter(pa.array(settled))
                 yield _span_batch(*(done.column(c).to_numpy() for c in ("doc", "h", "b", "e")))
                 batch = batch.filter(pa.array(~settled))
-            while batch.num_rows:
-                a = batch.column("a").to_numpy()
-                total = np.cumsum(pa.compute.binary_length(batch.column("piece")).to_numpy()) + size
-                if total[-1] < CHUNK_BYTES:
-                    waiting.append(batch)
-                    size = int(total[-1])
-                    break
-                # Close the chunk before the first new anchor behind the limit.
-                over = int(np.searchsorted(total, CHUNK_BYTES))
-                change = np.flatnonzero(a[1:] != a[:-1]) + 1
-                change = change[change > over]
-                cut = int(change[0]) if len(change) else batch.num_rows
-                before_all = waiting and a[0] != waiting[-1].column("a")[-1].as_py() and size >= CHUNK_BYTES
-                if before_all:
-                    yield spans(waiting)
-                    waiting, size = [], 0
+            for part, pieces in W.slices(batch, "piece", CHUNK_BYTES):
+                waiting.append(part)
+                size += len(pieces.data)
+                if size < CHUNK_BYTES:
                     continue
-                waiting.append(batch.slice(0, cut))
-                size = int(total[cut - 1])
-                batch = batch.slice(cut)
-                if len(change):
-                    yield spans(waiting)
+                table = pa.Table.from_batches(waiting)
+                anchor = table.column("a").to_numpy()
+                cut = int(np.flatnonzero(anchor == anchor[-1])[0])
+                rest = table.slice(cut)
+                size = pa.compute.sum(pa.compute.binary_length(rest.column("piece"))).as_py()
+                yield from handled(table.slice(0, cut), heavy)
+                waiting = rest.to_batches()
+                if size >= CHUNK_BYTES:
+                    heavy = int(anchor[-1])
+                if heavy == anchor[-1]:
+                    yield from handled(rest, heavy)
                     waiting, size = [], 0
         if waiting:
-            yield spans(waiting)
+            yield from handled(pa.Table.from_batches(waiting), heavy)
 
     return found
 
 
-def _span_batch(doc, h, b, e) -> pa.RecordBatch:
+# A second hash of a window is over bytes renamed by this table.
+_RENAMED = np.random.default_rng(5).permutation(256).astype(np.uint8)
+
+
+def _window_rows(spec: Spec, table: pa.Table):
+    """Windows of pieces as (doc, h, b, e, w1, w2), w1 and w2 hashes of the window.
+
+    Where a smaller document of the table holds the window the row is a span: w1 null.
+    """
+    batch = table.combine_chunks().to_batches()[0]
+    for part, texts in W.slices(batch, "piece"):
+        u = units(texts, spec.by_word)
+        count = np.diff(u.first) - spec.length + 1
+        at = W.ragged(u.first[:-1], count)
+        row = np.repeat(np.arange(part.num_rows), count)
+        ends = u.end[at + spec.length - 1]
+        w1, w2 = (W.Rolling(d).of(u.start[at], ends).view(np.int64) for d in (u.data, _RENAMED[u.data]))
+        doc, h, b = (part.column(c).to_numpy()[row] for c in ("doc", "h", "b"))
+        b = b + at - u.first[row]
+        order = np.lexsort((doc, w2, w1))
+        same = np.zeros(len(order), bool)
+        same[1:] = (w1[order][1:] == w1[order][:-1]) & (w2[order][1:] == w2[order][:-1])
+        least = doc[order][np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))] if len(order) else doc
+        settled = np.zeros(len(order), bool)
+        settled[order] = least < doc[order]
+        r, x, y = _merged(row[settled], (at - u.first[row])[settled], spec.length)
+        begin = part.column("b").to_numpy()[r]
+        yield _span_batch(part.column("doc").to_numpy()[r], part.column("h").to_numpy()[r], begin + x, begin + y)
+        go = ~settled
+        yield _span_batch(doc[go], h[go], b[go], b[go] + spec.length, w1[go], w2[go])
+
+
+def _smallest(batches):
+    """Spans of rows sorted by (w1, w2, doc): those of windows that a smaller document has."""
+    last = None
+    for batch in batches:
+        opened = batch.column("w1").is_valid().to_numpy(zero_copy_only=False)
+        whole = batch.filter(pa.array(~opened))
+        if whole.num_rows:
+            yield pa.record_batch(whole.columns[:4], whole.schema.names[:4])
+        batch = batch.filter(pa.array(opened))
+        if not batch.num_rows:
+            continue
+        doc, w1, w2 = (batch.column(c).to_numpy() for c in ("doc", "w1", "w2"))
+        new = np.ones(len(doc), bool)
+        new[1:] = (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])
+        least = doc[np.maximum.accumulate(np.where(new, np.arange(len(doc)), 0))]
+        if last is not None:
+            group = np.cumsum(new) == 1
+            if (w1[0], w2[0]) == last[:2]:
+                least = np.where(group, last[2], least)
+        last = (w1[-1], w2[-1], least[-1])
+        hit = batch.filter(pa.array(least < doc))
+        yield pa.record_batch(hit.columns[:4], hit.schema.names[:4])
+
+
+def _span_batch(doc, h, b, e, w1=None, w2=None) -> pa.RecordBatch:
     kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32())
-    return pa.record_batch([pa.array(np.asarray(c), t) for c, t in zip((doc, h, b, e), kinds)], ["doc", "h", "b", "e"])
+    whole = [pa.array(np.asarray(c), t) for c, t in zip((doc, h, b, e), kinds)]
+    hashes = [pa.nulls(len(whole[0]), pa.int64()) if w is None else pa.array(w, pa.int64()) for w in (w1, w2)]
+    return pa.record_batch([*whole, *hashes], ["doc", "h", "b", "e", "w1", "w2"])
 
 
 def _applied(spec: Spec):
@@ -389,7 +456,10 @@ def remove(docs: DataFrame, spec: Spec, *, id_col: str, text_col: str) -> DataFr
     spans = (
         pieces.repartition(shard)
         .sortWithinPartitions("a")
-        .mapInArrow(_index(spec), "doc long, h int, b int, e int")
+        .mapInArrow(_index(spec), "doc long, h int, b int, e int, w1 long, w2 long")
+        .repartition(F.coalesce("w1", F.xxhash64("doc", "b")))
+        .sortWithinPartitions("w1", "w2", "doc")
+        .mapInArrow(_smallest, "doc long, h int, b int, e int")
         .groupBy("doc")
         .agg(F.collect_list(F.struct("h", "b", "e")).alias("spans"))
     )

@@ -115,3 +115,20 @@ def test_backward_search_finds_all_places():
     for a, x, y in zip(at, lo, hi):
         places = [i for i in range(297) if (symbols[i : i + 4] == symbols[a : a + 4]).all()]
         assert sorted(index.order[x:y].tolist()) == places
+
+
+@pytest.mark.parametrize("module,split,length,join", [(fm_index, *WORDS[:1], 13, WORDS[1]), (suffix_array, *BYTES[:1], 50, BYTES[1])])
+def test_one_anchor_never_fills_an_index(spark, module, split, length, join, monkeypatch):
+    # A shared phrase shorter than a window, followed by text of each document's own; some share more.
+    phrase = "all rights reserved under the license of this notice and its terms"
+    rows = [(i, "%s doc%d has words of its own number %d and so on" % (phrase, i // (1 + (i % 10 == 0)), i % 97)) for i in range(400)]
+    finder, largest = module.finder, 4000
+
+    def bounded(data, offsets, low, n):
+        assert len(data) < 3 * largest
+        return finder(data, offsets, low, n)
+
+    monkeypatch.setattr(module, "finder", bounded)
+    monkeypatch.setattr(repeats, "CHUNK_BYTES", largest)
+    df = frame(spark, rows).repartition(20)
+    assert outcome(module.dedup(df), None) == expected(by_words(rows), split, length, join)
