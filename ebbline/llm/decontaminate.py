@@ -6,8 +6,8 @@ hashes on both sides, so it shares a kept hash at the same distance from its sta
 kept hashes give (text, item, offset); the words along that offset are then compared and
 every run of at least ``SPAN`` equal words, or of the whole of a shorter item, is a hit.
 
-Kept hashes are made from fully lower-cased words, which only adds candidates; the words
-compared afterwards have A-Z lower-cased only.
+Words have A-Z lower-cased only, for hashes and for what is compared afterwards: other
+letters, such as a capital sigma, lower-case differently by what follows them.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ def plain_words(text: Column) -> Column:
 
 
 def _hashes(text: Column) -> Column:
-    return F.transform(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w))
+    return F.transform(plain_words(text), lambda w: F.xxhash64(w))
 
 
 def _grams(words: Column, n: int) -> Column:

@@ -82,3 +82,8 @@ def test_no_python_in_the_plan(spark, edge):
     items = spark.createDataFrame([(1, "one")], "item_id long, text string")
     plan = decontaminate.contamination(edge, items)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_capital_sigma_before_other_punctuation(spark):
+    names = ["ΟΔΟΣ", "ΛΟΓΟΣ", "ΝΟΜΟΣ", "ΤΟΠΟΣ", "ΧΡΟΝΟΣ", "ΚΟΣΜΟΣ"] * 2
+    check(spark, [(1, "a b " + ".".join(names) + ".c"), (2, " ".join(names))], [(7, " ".join(names)), (8, ".".join(names[:4]))])
