@@ -39,8 +39,10 @@ GAZETTEER = {
     "email": r"(?i)(?:com|org|net|edu|gov|io|info|biz|de|fr|es|uk|it|nl|eu|us|ca|au|jp|cn|in|br)$",
     "ip": r"^(?!0|127|22[4-9]|2[3-5][0-9])",
     "card": r"^(?:4|5[1-5]|3[47]|6011|65|2[2-7])",
-    "phone": r"^(?:\+|00)?(?:1|33|34|44|49|39|31|61|81|86|91|55)?",
+    "phone": r"^(?:\+|00)(?:1|33|34|44|49|39|31|61|81|86|91|55)",
 }
+# Only a phone number with one of these in front has a calling code.
+PREFIX = r"^(?:\+|00)"
 GOOD_WORDS = {
     "email": r"mail|contact|write to|reach",
     "ip": r"\bip\b|host|server|address|login from",
@@ -155,7 +157,7 @@ def votes(text: Column, s: Column) -> Column:
     return F.struct(
         F.when(s["base"], F.lit(1)).otherwise(F.lit(-1)).alias("strict"),
         _vote(ok, ~ok).alias("format"),
-        _vote(listed & (kind != "phone"), ~listed).alias("gazetteer"),
+        _vote(listed, ~listed & ((kind != "phone") | F.rlike(txt, F.lit(PREFIX)))).alias("gazetteer"),
         _vote(good, F.rlike(before, F.lit(BAD_WORDS))).alias("context"),
         F.when(F.rlike(around, F.lit(r"[\p{L}\p{N}_]")), F.lit(-1)).otherwise(F.lit(1)).alias("boundary"),
         F.when(F.rlike(txt, F.lit(r"[ ()\[\]./-]")), F.lit(1)).otherwise(F.lit(0)).alias("parted"),

@@ -76,6 +76,25 @@ def test_voters_decide_on_proposed_spans(spark):
     assert all(got[100 + i] == [] for i in range(60))
 
 
+def test_good_candidates_are_found_at_the_default(spark):
+    known = [(i, f"word call me at +1 ({200 + i}) 555-2{100 + i} or phone {i}") for i in range(60)]
+    known += [(100 + i, f"order number {3000000000 + 7919 * i}x and then more") for i in range(60)]
+    known += [(400 + i, f"my phone ({200 + i}) 555-0{100 + i} is on") for i in range(60)]
+    asked = [(300, "my phone (415) 555-0199 is on"), (301, "order number 4155550199x is on"), (302, "my phone 0044 415 555 0199 is on")]
+    df = spark.createDataFrame(known + asked, "doc_id long, text string")
+    got = {r.doc_id: [(s.kind, s.b, s.e) for s in r.spans if not s.base] for r in pii.personal_data(df).collect()}
+    assert got[300] == [("phone", 9, 23)] and got[302] == [("phone", 9, 26)]
+    assert got[301] == []
+
+
+def test_calling_codes_vote(spark):
+    texts = ["+1 415 555 0199", "0044 415 555 0199", "+999 415 555 0199", "(415) 555-0199"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    span = F.struct(F.lit("phone").alias("kind"), F.lit(0).alias("b"), F.length("text").alias("e"), F.col("text").alias("txt"), F.lit(False).alias("base"))
+    got = df.select("i", pii.votes(F.col("text"), span)["gazetteer"].alias("v")).orderBy("i").collect()
+    assert [r.v for r in got] == [1, 1, -1, 0]
+
+
 def test_reliabilities_follow_the_votes():
     good, bad = (1, 1, 1, 1, 1), (-1, -1, -1, 1, -1)
     right, p, share = pii._estimate([(good, 500), (bad, 500)])
