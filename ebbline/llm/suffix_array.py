@@ -1,4 +1,4 @@
-"""Suffix-array dedup by bucket-pointer refinement (operator 6).
+"""Suffix-array dedup by prefix doubling over buckets (operator 6).
 
 A shard sorts the suffixes of its pieces by 8-byte buckets first.  A bucket is refined by
 sorting its suffixes on the bucket identifiers of the offset already sorted, which doubles
