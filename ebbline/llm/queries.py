@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import bpe, chat, decontaminate, fm_index, pii, pseudo_likelihood, quality, simhash, suffix_array, topk
+from ebbline.llm import bpe, chat, decontaminate, fm_index, pii, pivots, pseudo_likelihood, quality, simhash, suffix_array, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -197,3 +197,49 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(24 + length(regexp_replace(replace(role, chr(10), 'xx'), '([\\<\[])', '__', 'g')) + length(regexp_replace(text, '([\\<\[])', '__', 'g'))) AS BIGINT) AS formatted_chars
 FROM r GROUP BY conv_id
 """
+
+
+@query
+def op11_laesa_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def _rounds_sql(rounds: int) -> str:
+    """Assignment and update of each round, one after the other."""
+    out = []
+    for r in range(rounds + 1):
+        out.append(f"""near{r} AS MATERIALIZED (
+  SELECT row, min_by(c, (d, c)) AS c, min(d) AS d FROM (
+    SELECT x.row, p.c, CAST(sum((x.x - p.x) * (x.x - p.x)) AS BIGINT) AS d FROM x JOIN p{r} p USING (i) GROUP BY x.row, p.c
+  ) GROUP BY row
+)""")
+        if r < rounds:
+            out.append(f"""p{r + 1} AS MATERIALIZED (
+  SELECT p.c, p.i, CAST(coalesce((m.s - (m.s % m.n + m.n) % m.n) // m.n, p.x) AS BIGINT) AS x
+  FROM p{r} p LEFT JOIN (
+    SELECT c, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM near{r} JOIN x USING (row) GROUP BY c, i
+  ) m USING (c, i)
+)""")
+    return ",\n".join(out)
+
+
+SQL["op11_laesa_clusters"] = f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, w FROM (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) = {pivots.DIMS}
+      AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+  )
+), x AS MATERIALIZED (
+  SELECT row, i, w[i] AS x FROM v, range(1, {pivots.DIMS} + 1) t(i)
+), p0 AS MATERIALIZED (
+  SELECT c, i, w[i] AS x FROM (
+    SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), w) - 1 AS c, w FROM v QUALIFY c < {pivots.CLUSTERS}
+  ), range(1, {pivots.DIMS} + 1) t(i)
+), {_rounds_sql(pivots.ROUNDS)}
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, d AS distance,
+       CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM near{pivots.ROUNDS} JOIN v USING (row)
+JOIN (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM p{pivots.ROUNDS} GROUP BY c) USING (c)
+"""
