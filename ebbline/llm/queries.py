@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import bpe, chat, decontaminate, fm_index, pii, pivots, pseudo_likelihood, quality, simhash, suffix_array, topk
+from ebbline.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    fm_index,
+    pii,
+    pivots,
+    pseudo_likelihood,
+    quality,
+    secret_scan,
+    simhash,
+    suffix_array,
+    topk,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -243,3 +256,17 @@ SELECT vec_id, CAST(c AS INTEGER) AS cluster, d AS distance,
 FROM near{pivots.ROUNDS} JOIN v USING (row)
 JOIN (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM p{pivots.ROUNDS} GROUP BY c) USING (c)
 """
+
+
+@query
+def op13_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.secrets(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    return found.select(
+        "doc_id",
+        *[F.size(pii.of_kind(base, k)).cast("long").alias(f"n_{k}") for k in secret_scan.KINDS],
+        F.sha2(secret_scan.told(base), 256).alias("base_sha256"),
+        secret_scan.told(F.col("spans")).alias("spans"),
+        F.size(F.filter("spans", lambda s: s["verdict"] == "live")).cast("long").alias("n_live"),
+        F.size(F.filter("spans", lambda s: s["verdict"] == "example")).cast("long").alias("n_example"),
+    )
