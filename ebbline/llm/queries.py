@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline.llm import (
+    alignment,
     bpe,
     chat,
     decontaminate,
@@ -270,3 +271,12 @@ def op13_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size(F.filter("spans", lambda s: s["verdict"] == "live")).cast("long").alias("n_live"),
         F.size(F.filter("spans", lambda s: s["verdict"] == "example")).cast("long").alias("n_example"),
     )
+
+
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(
+        table(spark, sf_dir, "documents"),
+        byte_level_path=public_tokenizers.path("byte_bpe_50k.json"),
+        pieces_path=public_tokenizers.path("piece_bpe_32k.model"),
+    )
