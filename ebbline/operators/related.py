@@ -1,35 +1,37 @@
 """Accounts reachable through shared clients, without quadratic groups (FE9, J6).
 
 ``COUNT(DISTINCT related account)`` over account -> clients -> accounts is a two-step
-walk over the bridge.  Enumerating it costs (accounts of a client) squared, which fails
-for one client that holds a large share of all accounts.  Clients are therefore split:
-
-* *light* clients, with at most ``heavy_degree`` accounts, are walked: a bridge row then
-  produces at most ``heavy_degree`` pairs;
-* *heavy* clients are never paired.  Let H(x) be the heavy clients of account x.  The
-  accounts that share a heavy client with b are counted by inclusion-exclusion over the
-  non-empty subsets S of H(b): sum of (-1)^(|S|+1) * T(S), where T(S) totals the accounts
-  whose H contains S.  T is one aggregation.  Walked pairs that also share a heavy client
-  are left out, so each account counts once.
-
-Heavy clients are few (at most bridge rows / ``heavy_degree``), so an account holds few of
-them.  Accounts with more than ``max_heavy`` heavy clients are walked instead of expanded
-to subsets, which stays exact.  All totals are counts or decimals, so the signed sum is
-exact too.
+walk over the bridge.  Enumerating it costs (accounts of a client) squared.  Here nothing
+is walked.  Every account is reduced to the set of its clients; a related account shares a
+client with account b when its set meets the set of b.  By inclusion and exclusion
+
+    total over sets that meet B = sum over non-empty U in B of (-1)^(|U|+1) * T(U)
+
+where T(U) totals the accounts whose set contains U.  T is one aggregation over the subsets
+of the distinct member sets, so a client with very many accounts is one row of it, whoever
+shares those accounts.  All measures are counts or decimals, so the signed sum is exact.
+
+Subsets double with each client, so sets of more than ``wide`` clients are matched as sets
+instead, also exactly and in the same plan:
+
+* T(U) gets what the wide member sets that contain U hold, and a wide base set adds up the
+  signed T(U) of all U that it contains.  Both look U up by its rarest client.
+* Two wide sets meet by a common client; equal wide sets are one.
 """
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbline.functions.dates import AsOf, at_snapshot, month_diff
 
-HEAVY_DEGREE = 10_000
-MAX_HEAVY = 8
+WIDE = 4
+# Nodes of one client are looked up from so many places, for clients that a large share of
+# all accounts have.
+PLACES = 8
 
 # Account kinds by what they are.
 RELATED_KINDS = ["Transaction", "Savings", "Term Share", "Home Loan", "Credit Card", "Personal Loan"]
@@ -80,121 +82,128 @@ def _sum_all(names: Sequence[str]) -> list[Column]:
     return [F.sum(n).alias(n) for n in names]
 
 
-def related_totals(
-    base: DataFrame,
-    members: DataFrame,
-    *,
-    holdings: DataFrame | None = None,
-    heavy_degree: int = HEAVY_DEGREE,
-    max_heavy: int = MAX_HEAVY,
-) -> DataFrame:
+def _client_sets(rows: DataFrame, keys: Sequence[str], wide: int) -> DataFrame:
+    """keys, _set: the sorted clients of each account, of which at most ``wide + 1`` are kept."""
+    first = Window.partitionBy(*keys).orderBy("client")
+    return (
+        rows.withColumn("_r", F.dense_rank().over(first))
+        .filter(F.col("_r") <= wide + 1)
+        .groupBy(*keys)
+        .agg(F.array_sort(F.collect_set("client")).alias("_set"))
+    )
+
+
+def _wide_sets(rows: DataFrame, sets: DataFrame, keys: Sequence[str], who: str, wide: int) -> tuple[DataFrame, DataFrame]:
+    """(keys with the id of their set, id and client of every member) of the wide accounts.
+
+    The id is made of two 64-bit hashes combined over the clients and of their number.
+    """
+    far = sets.filter(F.size("_set") > wide).select("as_of_date", who).distinct()
+    mine = rows.join(far, ["as_of_date", who], "left_semi").select(*keys, "client").distinct()
+    ids = mine.groupBy(*keys).agg(
+        F.concat_ws(
+            "/", F.count(F.lit(1)), F.bit_xor(F.xxhash64("client")), F.bit_xor(F.xxhash64("client", F.lit("second")))
+        ).alias("_id")
+    )
+    members = mine.select("as_of_date", who, "client").join(
+        ids.select("as_of_date", who, "_id").distinct(), ["as_of_date", who]
+    )
+    return ids, members.select("as_of_date", "_id", "client").distinct()
+
+
+def _contained(nodes: DataFrame, members: DataFrame) -> DataFrame:
+    """as_of_date, _u, _id: the wide sets that contain each node."""
+    load = members.groupBy("as_of_date", "client").agg(F.count(F.lit(1)).alias("_n"))
+    keyed = (
+        nodes.select("as_of_date", "_u", F.explode("_u").alias("client"))
+        .join(load, ["as_of_date", "client"])
+        .groupBy("as_of_date", "_u")
+        .agg(F.count(F.lit(1)).alias("_known"), F.min_by("client", F.struct("_n", "client")).alias("_rare"))
+        .filter(F.col("_known") == F.size("_u"))
+        .select("as_of_date", "_u", F.col("_rare").alias("client"))
+    )
+    found = keyed.join(members, ["as_of_date", "client"]).select("as_of_date", "_u", "_id")
+    return (
+        found.withColumn("client", F.explode("_u"))
+        .join(members, ["as_of_date", "_id", "client"], "left_semi")
+        .groupBy("as_of_date", "_u", "_id")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") == F.size("_u"))
+        .drop("_n")
+    )
+
+
+def related_totals(base: DataFrame, members: DataFrame, *, wide: int = WIDE) -> DataFrame:
     """Totals over the distinct accounts that share a client with each base account.
 
     ``base``: as_of_date, account, client.  ``members``: as_of_date, client, related,
-    status, kind, balance, where the last three belong to (as_of_date, related).
-    ``holdings`` is a superset of the (as_of_date, client) rows of ``members`` that is
-    cheaper to count, for finding the heavy clients.
+    status, kind, balance, where the last three belong to (as_of_date, related).  Rows may
+    repeat; base accounts without a related account have no row.
     """
     values = _measures()
-    attrs = ["status", "kind", "balance"]
-    heavy = (
-        (members if holdings is None else holdings)
-        .groupBy("as_of_date", "client")
-        .count()
-        .filter(F.col("count") > heavy_degree)
-        .select("as_of_date", "client")
-    )
-    if heavy.isEmpty():
-        pairs = (
-            base.join(members, ["as_of_date", "client"])
-            .select("as_of_date", "account", "related", *attrs)
-            .distinct()
-        )
-        return (
-            pairs.select("as_of_date", "account", *[v.alias(n) for n, v in values.items()])
-            .groupBy("as_of_date", "account")
-            .agg(*_sum_all(NAMES))
-        )
-
-    on = ["as_of_date", "client"]
-
-    def with_heavy(df: DataFrame, who: str) -> tuple[DataFrame, DataFrame]:
-        """(all rows, flagged where the client is heavy; one row per account with H).
-
-        Heavy clients are counted first, so that H is gathered for accounts with few only.
-        """
-        keys = ["as_of_date", who]
-        flagged = df.join(heavy.withColumn("_hv", F.lit(True)), on, "left")
-        sizes = flagged.groupBy(*keys).agg(F.count("_hv").alias("_n"))
-        few = sizes.filter((F.col("_n") > 0) & (F.col("_n") <= max_heavy)).drop("_n")
-        gathered = (
-            flagged.filter("_hv")
-            .join(few, keys, "left_semi")
-            .groupBy(*keys)
-            .agg(F.array_sort(F.collect_set("client")).alias("_h"))
-        )
-        sets = sizes.join(gathered, keys, "left").select(
-            *keys,
-            F.coalesce("_h", F.array().cast("array<string>")).alias("_h"),
-            (F.col("_n") > max_heavy).alias("_wide"),
-        )
-        return flagged, sets
-
-    base_rows, base_sets = with_heavy(base.distinct(), "account")
-    mem_rows, mem_sets = with_heavy(members, "related")
-    base_sets = base_sets.withColumnsRenamed({"_h": "_hb", "_wide": "_wide_b"})
-    mem_sets = mem_sets.withColumnsRenamed({"_h": "_hm", "_wide": "_wide_m"})
-    base_all = base_rows.join(base_sets, ["as_of_date", "account"])
-    mem_all = mem_rows.join(mem_sets, ["as_of_date", "related"])
-    is_light = F.col("_hv").isNull()
-
-    # Walked: light clients, and heavy clients only where one side is wide.
-    def walk(b: DataFrame, m: DataFrame) -> DataFrame:
-        return b.drop("_hv").join(m.drop("_hv"), on)
-
-    walked = [
-        walk(base_all.filter(is_light), mem_all.filter(is_light)),
-        walk(base_all.filter(~is_light & F.col("_wide_b")), mem_all.filter(~is_light)),
-        walk(
-            base_all.filter(~is_light & ~F.col("_wide_b")),
-            mem_all.filter(~is_light & F.col("_wide_m")),
-        ),
-    ]
-    counted_below = ~F.col("_wide_b") & ~F.col("_wide_m") & F.arrays_overlap("_hb", "_hm")
-    walked_pairs = (
-        reduce(DataFrame.unionByName, walked)
-        .filter(~counted_below)
-        .select("as_of_date", "account", "related", *attrs)
-        .distinct()
-        .select("as_of_date", "account", *[v.alias(n) for n, v in values.items()])
-    )
-
-    # Counted: T(S) over accounts, then the signed sum over the subsets of H(b).
-    by_set = (
-        mem_rows.filter(~is_light)
-        .select("as_of_date", "related", *attrs)
-        .distinct()
-        .join(mem_sets.filter(~F.col("_wide_m")), ["as_of_date", "related"])
-        .groupBy("as_of_date", F.col("_hm"))
+    of_base = ["as_of_date", "account"]
+    of_member = ["as_of_date", "related", "status", "kind", "balance"]
+    linked = members.filter(F.col("client").isNotNull())
+    asked = base.filter(F.col("client").isNotNull())
+    member_sets = _client_sets(linked, of_member, wide)
+    base_sets = _client_sets(asked, of_base, wide)
+    sign = F.when(F.size("_u") % 2 == 1, 1).otherwise(-1)
+
+    # T over the narrow member sets.
+    nodes = (
+        member_sets.filter(F.size("_set") <= wide)
+        .groupBy("as_of_date", "_set")
         .agg(*[F.sum(v).alias(n) for n, v in values.items()])
-        .withColumn("_s", F.explode(_subsets("_hm")))
-        .groupBy("as_of_date", "_s")
+        .select("as_of_date", F.explode(_subsets("_set")).alias("_u"), *NAMES)
+        .groupBy("as_of_date", "_u")
         .agg(*_sum_all(NAMES))
     )
-    sign = F.when(F.size("_s") % 2 == 1, 1).otherwise(-1)
-    counted = (
-        base_sets.filter(~F.col("_wide_b") & (F.size("_hb") > 0))
-        .select("as_of_date", "account", F.explode(_subsets("_hb")).alias("_s"))
-        .join(by_set, ["as_of_date", "_s"])
-        .select("as_of_date", "account", *[(sign * F.col(n)).alias(n) for n in NAMES])
+    member_ids, member_clients = _wide_sets(linked, member_sets, of_member, "related", wide)
+    member_values = member_ids.groupBy("as_of_date", "_id").agg(*[F.sum(v).alias(n) for n, v in values.items()])
+    wanted = base_sets.filter(F.size("_set") <= wide).select("as_of_date", "account", F.explode(_subsets("_set")).alias("_u"))
+    far_nodes = (
+        _contained(wanted.select("as_of_date", "_u").distinct(), member_clients)
+        .join(member_values, ["as_of_date", "_id"])
+        .select("as_of_date", "_u", *NAMES)
     )
-    return (
-        walked_pairs.unionByName(counted)
+    # Sets of one client are the hot ones: each is written for all places, and accounts are
+    # dealt over them.
+    places = F.when(F.size("_u") == 1, F.sequence(F.lit(0), F.lit(PLACES - 1))).otherwise(F.array(F.lit(0)))
+    lattice = (
+        nodes.unionByName(far_nodes).groupBy("as_of_date", "_u").agg(*_sum_all(NAMES)).withColumn("_place", F.explode(places))
+    )
+    place = F.when(F.size("_u") == 1, F.pmod(F.xxhash64("account"), F.lit(PLACES)).cast("int")).otherwise(F.lit(0))
+    narrow = (
+        wanted.withColumn("_place", place)
+        .join(lattice, ["as_of_date", "_u", "_place"])
+        .select("as_of_date", "account", *[(sign * F.col(n)).alias(n) for n in NAMES])
         .groupBy("as_of_date", "account")
         .agg(*_sum_all(NAMES))
-        .filter(F.col("n_all") > 0)
     )
 
+    # Wide base sets: against the nodes that they contain, and against wide member sets.
+    base_ids, base_clients = _wide_sets(asked, base_sets, of_base, "account", wide)
+    from_nodes = (
+        _contained(nodes.select("as_of_date", "_u"), base_clients)
+        .join(nodes, ["as_of_date", "_u"])
+        .select("as_of_date", "_id", *[(sign * F.col(n)).alias(n) for n in NAMES])
+    )
+    from_sets = (
+        base_clients.join(member_clients.withColumnRenamed("_id", "_other"), ["as_of_date", "client"])
+        .select("as_of_date", "_id", "_other")
+        .distinct()
+        .join(member_values.withColumnRenamed("_id", "_other"), ["as_of_date", "_other"])
+        .select("as_of_date", "_id", *NAMES)
+    )
+    far = (
+        from_nodes.unionByName(from_sets)
+        .groupBy("as_of_date", "_id")
+        .agg(*_sum_all(NAMES))
+        .join(base_ids, ["as_of_date", "_id"])
+        .select("as_of_date", "account", *NAMES)
+    )
+    return narrow.unionByName(far).filter(F.col("n_all") > 0)
+
 
 def related_accounts(
     asof: AsOf,
@@ -203,8 +212,7 @@ def related_accounts(
     accounts: DataFrame,
     *,
     closed_months: int = 6,
-    heavy_degree: int = HEAVY_DEGREE,
-    max_heavy: int = MAX_HEAVY,
+    wide: int = WIDE,
 ) -> DataFrame:
     """Open, recently closed, held and owed over all accounts of the same clients (FE9).
 
@@ -231,9 +239,7 @@ def related_accounts(
         ),
         ["as_of_date", "account"],
     )
-    t = related_totals(
-        base_clients, members, holdings=holdings, heavy_degree=heavy_degree, max_heavy=max_heavy
-    )
+    t = related_totals(base_clients, members, wide=wide)
     return t.select(
         "as_of_date",
         F.col("account").alias("AccountNumber"),

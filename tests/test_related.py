@@ -1,10 +1,11 @@
-"""Related accounts: walked, counted and mixed paths give the brute-force answer."""
+"""Related accounts: subsets, wide sets and both together give the brute-force answer."""
 
 import random
 from collections import defaultdict
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from ebbline.operators.related import NAMES, related_totals
 
@@ -51,14 +52,7 @@ def brute(held, attrs, base):
     return out
 
 
-@pytest.mark.parametrize(
-    "heavy_degree,max_heavy",
-    [(10_000, 8), (10, 8), (10, 1), (0, 2), (0, 20), (3, 0)],
-    ids=["walked", "counted", "wide", "all-heavy-narrow-cap", "all-heavy", "no-subsets"],
-)
-def test_every_path_equals_brute_force(spark, heavy_degree, max_heavy):
-    held, attrs = world(5, accounts=60, clients=25, hot_clients=3, most=3)
-    base = list(range(0, 60, 2))
+def frames(spark, held, attrs, base):
     members = spark.createDataFrame(
         [("2000-01-31", str(c), str(a), *attrs[a]) for a in held for c in held[a]],
         "as_of_date string, client string, related string, status string, kind string, balance decimal(18,2)",
@@ -67,21 +61,62 @@ def test_every_path_equals_brute_force(spark, heavy_degree, max_heavy):
         [("2000-01-31", str(b), str(c)) for b in base for c in held[b]],
         "as_of_date string, account string, client string",
     )
-    got = {
-        int(r.account): {n: r[n] for n in NAMES}
-        for r in related_totals(base_rows, members, heavy_degree=heavy_degree, max_heavy=max_heavy).collect()
-    }
-    want = brute(held, attrs, base)
-    assert got == want
+    return base_rows, members
 
 
-def test_heavy_client_is_not_paired(spark):
-    """The hot client's join never shows up: only light clients are walked."""
-    rows = [("d", "hot", str(a), "Open", "Savings", Decimal(1)) for a in range(2000)]
-    members = spark.createDataFrame(
-        rows, "as_of_date string, client string, related string, status string, kind string, balance decimal(18,2)"
+def totals(spark, held, attrs, base, **how):
+    base_rows, members = frames(spark, held, attrs, base)
+    # Repeated rows and rows without a client change nothing.
+    members = members.unionByName(members.limit(20)).unionByName(members.limit(1).withColumn("client", F.lit(None)))
+    found = related_totals(base_rows.unionByName(base_rows.limit(9)), members, **how).collect()
+    assert len({r.account for r in found}) == len(found)
+    return {int(r.account): {n: r[n] for n in NAMES} for r in found}
+
+
+@pytest.mark.parametrize("wide", [0, 1, 2, 4, 20], ids=["all-wide", "couples-wide", "triples-wide", "default", "all-subsets"])
+def test_every_width_equals_brute_force(spark, wide):
+    held, attrs = world(5, accounts=60, clients=25, hot_clients=3, most=6)
+    base = list(range(0, 60, 2))
+    assert totals(spark, held, attrs, base, wide=wide) == brute(held, attrs, base)
+
+
+def test_sets_of_many_clients(spark):
+    """Wide sets that are equal, that contain each other, and that meet in one client."""
+    held = {0: set(range(12)), 1: set(range(12)), 2: set(range(6)), 3: {11, 40, 41, 42, 43, 44}, 4: {0, 40}, 5: {50}, 6: {50, 3, 7}}
+    attrs = {a: ("Open", "Savings", Decimal(10**a)) for a in held}
+    assert totals(spark, held, attrs, list(held)) == brute(held, attrs, list(held))
+
+
+def test_no_related_account_gives_no_row(spark):
+    base, members = frames(spark, {0: {1}, 1: {2}}, {0: ("Open", "Savings", None), 1: ("Open", "Savings", None)}, [0, 1])
+    found = related_totals(base, members.filter("client = '1'"))
+    assert [(r.account, r.n_all, r.n_held) for r in found.collect()] == [("0", 1, 0)]
+    assert related_totals(base, members.limit(0)).isEmpty()
+
+
+def hot(spark, n):
+    """One client on n accounts, each shared with a client of its own."""
+    rows = spark.range(n).select(
+        F.lit("d").alias("as_of_date"),
+        F.explode(F.array(F.lit("hot"), F.concat(F.lit("p"), F.col("id")))).alias("client"),
+        F.col("id").cast("string").alias("related"),
+        F.lit("Open").alias("status"),
+        F.lit("Savings").alias("kind"),
+        F.lit(1).cast("decimal(18,2)").alias("balance"),
     )
-    base = spark.createDataFrame([("d", str(a), "hot") for a in range(2000)], "as_of_date string, account string, client string")
-    out = related_totals(base, members, heavy_degree=100)
-    assert out.count() == 2000
-    assert out.filter("n_all <> 2000 or held <> 2000").isEmpty()
+    return rows.select("as_of_date", F.col("related").alias("account"), "client"), rows
+
+
+def test_one_client_on_a_hundred_thousand_accounts(spark):
+    n = 100_000
+    out = related_totals(*hot(spark, n))
+    assert out.agg(F.count("*"), F.min("n_all"), F.max("n_all"), F.min("held"), F.max("held")).first()[:] == (n, n, n, n, n)
+
+
+def test_no_job_before_the_result_is_asked_for(spark):
+    base, members = hot(spark, 10)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    related_totals(base, members)
+    assert not tracker.getJobIdsForGroup("planning")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
