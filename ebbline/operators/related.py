@@ -1,22 +1,22 @@
 """Accounts reachable through shared clients, without quadratic groups (FE9, J6).
 
 ``COUNT(DISTINCT related account)`` over account -> clients -> accounts is a two-step
-walk over the bridge.  Enumerating it costs (accounts of a client) squared.  Here nothing
-is walked.  Every account is reduced to the set of its clients; a related account shares a
-client with account b when its set meets the set of b.  By inclusion and exclusion
-
-    total over sets that meet B = sum over non-empty U in B of (-1)^(|U|+1) * T(U)
-
-where T(U) totals the accounts whose set contains U.  T is one aggregation over the subsets
-of the distinct member sets, so a client with very many accounts is one row of it, whoever
-shares those accounts.  All measures are counts or decimals, so the signed sum is exact.
-
-Subsets double with each client, so sets of more than ``wide`` clients are matched as sets
-instead, also exactly and in the same plan:
-
-* T(U) gets what the wide member sets that contain U hold, and a wide base set adds up the
-  signed T(U) of all U that it contains.  Both look U up by its rarest client.
-* Two wide sets meet by a common client; equal wide sets are one.
+walk over the bridge.  Enumerating it costs (accounts of a client) squared, which fails
+for one client that holds a large share of all accounts.  Instead:
+
+* Every account is reduced to the set of its clients, and measures are added up per
+  distinct set: a related account shares a client with b when its set meets the set of b.
+* The clients of a base set are ranked by how many member sets they are in.  The two
+  largest, c and d, are never walked: by inclusion and exclusion, the sets that meet
+  {c, d} total T(c) + T(d) - T(c, d).  T is an aggregation per client, and per different
+  couple, looked up by its rarer client.
+* The remaining clients are walked from set to set, and the sets found that hold neither
+  c nor d are added.
+
+So a client with very many accounts, or a couple of them, costs what it holds once, also
+where each of its accounts has another third client.  Only base sets that share three such
+clients walk, from one distinct set each.  There is one plan for all data.  All measures are
+counts or decimals, so the signed sum is exact.
 """
 
 from __future__ import annotations
@@ -28,9 +28,8 @@ from pyspark.sql import functions as F
 
 from ebbline.functions.dates import AsOf, at_snapshot, month_diff
 
-WIDE = 4
-# Nodes of one client are looked up from so many places, for clients that a large share of
-# all accounts have.
+# Base sets that many accounts have, and the totals of one client, are dealt over so many
+# places.
 PLACES = 8
 
 # Account kinds by what they are.
@@ -70,139 +69,94 @@ def _measures() -> dict[str, Column]:
 NAMES = ["n_open", "n_closed", "held", "n_held", "owed", "n_owed", "n_txn", "n_sav", "n_lend", "n_all"]
 
 
-def _subsets(arr: str) -> Column:
-    """All non-empty subsets of a short array, as arrays in the same order."""
-    return F.expr(
-        f"transform(sequence(1, cast(shiftleft(1, size({arr})) as int) - 1), m -> "
-        f"filter({arr}, (x, i) -> shiftright(m, i) % 2 = 1))"
-    )
-
-
 def _sum_all(names: Sequence[str]) -> list[Column]:
     return [F.sum(n).alias(n) for n in names]
 
 
-def _client_sets(rows: DataFrame, keys: Sequence[str], wide: int) -> DataFrame:
-    """keys, _set: the sorted clients of each account, of which at most ``wide + 1`` are kept."""
-    first = Window.partitionBy(*keys).orderBy("client")
-    return (
-        rows.withColumn("_r", F.dense_rank().over(first))
-        .filter(F.col("_r") <= wide + 1)
-        .groupBy(*keys)
-        .agg(F.array_sort(F.collect_set("client")).alias("_set"))
+def _set_id(keys: Sequence[str]) -> Column:
+    """An id of the set of clients of the rows of each key: two 64-bit hashes combined over
+    the clients, and their number."""
+    w = Window.partitionBy(*keys)
+    return F.concat_ws(
+        "/",
+        F.count("client").over(w),
+        F.bit_xor(F.xxhash64("client")).over(w),
+        F.bit_xor(F.xxhash64("client", F.lit("second"))).over(w),
     )
 
 
-def _wide_sets(rows: DataFrame, sets: DataFrame, keys: Sequence[str], who: str, wide: int) -> tuple[DataFrame, DataFrame]:
-    """(keys with the id of their set, id and client of every member) of the wide accounts.
-
-    The id is made of two 64-bit hashes combined over the clients and of their number.
-    """
-    far = sets.filter(F.size("_set") > wide).select("as_of_date", who).distinct()
-    mine = rows.join(far, ["as_of_date", who], "left_semi").select(*keys, "client").distinct()
-    ids = mine.groupBy(*keys).agg(
-        F.concat_ws(
-            "/", F.count(F.lit(1)), F.bit_xor(F.xxhash64("client")), F.bit_xor(F.xxhash64("client", F.lit("second")))
-        ).alias("_id")
-    )
-    members = mine.select("as_of_date", who, "client").join(
-        ids.select("as_of_date", who, "_id").distinct(), ["as_of_date", who]
-    )
-    return ids, members.select("as_of_date", "_id", "client").distinct()
-
-
-def _contained(nodes: DataFrame, members: DataFrame) -> DataFrame:
-    """as_of_date, _u, _id: the wide sets that contain each node."""
-    load = members.groupBy("as_of_date", "client").agg(F.count(F.lit(1)).alias("_n"))
-    keyed = (
-        nodes.select("as_of_date", "_u", F.explode("_u").alias("client"))
-        .join(load, ["as_of_date", "client"])
-        .groupBy("as_of_date", "_u")
-        .agg(F.count(F.lit(1)).alias("_known"), F.min_by("client", F.struct("_n", "client")).alias("_rare"))
-        .filter(F.col("_known") == F.size("_u"))
-        .select("as_of_date", "_u", F.col("_rare").alias("client"))
-    )
-    found = keyed.join(members, ["as_of_date", "client"]).select("as_of_date", "_u", "_id")
-    return (
-        found.withColumn("client", F.explode("_u"))
-        .join(members, ["as_of_date", "_id", "client"], "left_semi")
-        .groupBy("as_of_date", "_u", "_id")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") == F.size("_u"))
-        .drop("_n")
-    )
+def _place(c: str) -> Column:
+    return F.pmod(F.xxhash64(c), F.lit(PLACES)).cast("int")
 
 
-def related_totals(base: DataFrame, members: DataFrame, *, wide: int = WIDE) -> DataFrame:
+def related_totals(base: DataFrame, members: DataFrame) -> DataFrame:
     """Totals over the distinct accounts that share a client with each base account.
 
     ``base``: as_of_date, account, client.  ``members``: as_of_date, client, related,
     status, kind, balance, where the last three belong to (as_of_date, related).  Rows may
-    repeat; base accounts without a related account have no row.
+    repeat; rows without a client link nothing; base accounts without a related account
+    have no row.
     """
     values = _measures()
-    of_base = ["as_of_date", "account"]
-    of_member = ["as_of_date", "related", "status", "kind", "balance"]
-    linked = members.filter(F.col("client").isNotNull())
-    asked = base.filter(F.col("client").isNotNull())
-    member_sets = _client_sets(linked, of_member, wide)
-    base_sets = _client_sets(asked, of_base, wide)
-    sign = F.when(F.size("_u") % 2 == 1, 1).otherwise(-1)
-
-    # T over the narrow member sets.
-    nodes = (
-        member_sets.filter(F.size("_set") <= wide)
-        .groupBy("as_of_date", "_set")
-        .agg(*[F.sum(v).alias(n) for n, v in values.items()])
-        .select("as_of_date", F.explode(_subsets("_set")).alias("_u"), *NAMES)
-        .groupBy("as_of_date", "_u")
-        .agg(*_sum_all(NAMES))
-    )
-    member_ids, member_clients = _wide_sets(linked, member_sets, of_member, "related", wide)
-    member_values = member_ids.groupBy("as_of_date", "_id").agg(*[F.sum(v).alias(n) for n, v in values.items()])
-    wanted = base_sets.filter(F.size("_set") <= wide).select("as_of_date", "account", F.explode(_subsets("_set")).alias("_u"))
-    far_nodes = (
-        _contained(wanted.select("as_of_date", "_u").distinct(), member_clients)
-        .join(member_values, ["as_of_date", "_id"])
-        .select("as_of_date", "_u", *NAMES)
-    )
-    # Sets of one client are the hot ones: each is written for all places, and accounts are
-    # dealt over them.
-    places = F.when(F.size("_u") == 1, F.sequence(F.lit(0), F.lit(PLACES - 1))).otherwise(F.array(F.lit(0)))
-    lattice = (
-        nodes.unionByName(far_nodes).groupBy("as_of_date", "_u").agg(*_sum_all(NAMES)).withColumn("_place", F.explode(places))
-    )
-    place = F.when(F.size("_u") == 1, F.pmod(F.xxhash64("account"), F.lit(PLACES)).cast("int")).otherwise(F.lit(0))
-    narrow = (
-        wanted.withColumn("_place", place)
-        .join(lattice, ["as_of_date", "_u", "_place"])
-        .select("as_of_date", "account", *[(sign * F.col(n)).alias(n) for n in NAMES])
-        .groupBy("as_of_date", "account")
-        .agg(*_sum_all(NAMES))
+    day = "as_of_date"
+    of_member = [day, "related", "status", "kind", "balance"]
+    linked = (
+        members.filter(F.col("client").isNotNull()).select(*of_member, "client").distinct().withColumn("_id", _set_id(of_member))
+    )
+    # Every client of a distinct member set, with the measures of the set: each account has
+    # one row per client, so adding up per set and client counts it once.
+    held = linked.groupBy(day, "_id", "client").agg(*[F.sum(v).alias(n) for n, v in values.items()])
+    places = F.explode(F.sequence(F.lit(0), F.lit(PLACES - 1))).alias("_p")
+    per_client = held.groupBy(day, "client").agg(F.count(F.lit(1)).alias("_n"), *_sum_all(NAMES)).select("*", places)
+
+    asked = (
+        base.filter(F.col("client").isNotNull())
+        .select(day, "account", "client")
+        .distinct()
+        .withColumn("_b", F.concat_ws("/", _set_id([day, "account"]), _place("account")))
     )
+    accounts = asked.select(day, "account", "_b").distinct()
+    whole = Window.partitionBy(day, "_b")
 
-    # Wide base sets: against the nodes that they contain, and against wide member sets.
-    base_ids, base_clients = _wide_sets(asked, base_sets, of_base, "account", wide)
-    from_nodes = (
-        _contained(nodes.select("as_of_date", "_u"), base_clients)
-        .join(nodes, ["as_of_date", "_u"])
-        .select("as_of_date", "_id", *[(sign * F.col(n)).alias(n) for n in NAMES])
-    )
-    from_sets = (
-        base_clients.join(member_clients.withColumnRenamed("_id", "_other"), ["as_of_date", "client"])
-        .select("as_of_date", "_id", "_other")
+    def at(rank: int) -> Column:
+        return F.max(F.when(F.col("_rank") == rank, F.col("client"))).over(whole)
+
+    ranked = (
+        asked.select(day, "_b", "client")
         .distinct()
-        .join(member_values.withColumnRenamed("_id", "_other"), ["as_of_date", "_other"])
-        .select("as_of_date", "_id", *NAMES)
-    )
-    far = (
-        from_nodes.unionByName(from_sets)
-        .groupBy("as_of_date", "_id")
+        .withColumn("_p", _place("_b"))
+        .join(per_client, [day, "client", "_p"])
+        .withColumn("_rank", F.row_number().over(whole.orderBy(F.desc("_n"), "client")))
+        .withColumns({"_c": at(1), "_d": at(2)})
+    )
+
+    def holding(found: DataFrame, who: str, how: str) -> DataFrame:
+        """Rows whose member set holds the client in ``who``, or those whose set does not."""
+        return found.join(held.select(day, "_id", F.col("client").alias(who)), [day, "_id", who], how)
+
+    couples = ranked.filter("_rank = 2").select(day, "_c", "_d").distinct()
+    both = holding(couples.join(held.withColumnRenamed("client", "_d"), [day, "_d"]), "_c", "left_semi")
+    per_couple = both.groupBy(day, "_c", "_d").agg(*[F.sum(n).alias(f"_{n}") for n in NAMES]).withColumn("_rank", F.lit(2))
+    counted = (
+        ranked.filter("_rank <= 2")
+        .join(per_couple, [day, "_c", "_d", "_rank"], "left")
+        .select(day, "_b", *[(F.col(n) - F.coalesce(f"_{n}", F.lit(0))).alias(n) for n in NAMES])
+    )
+    walked = (
+        ranked.filter("_rank > 2")
+        .select(day, "_b", "_c", "_d", "client")
+        .join(held, [day, "client"])
+        .drop("client")
+        .dropDuplicates([day, "_b", "_id"])
+    )
+    others = holding(holding(walked, "_c", "left_anti"), "_d", "left_anti").select(day, "_b", *NAMES)
+    return (
+        counted.unionByName(others)
+        .groupBy(day, "_b")
         .agg(*_sum_all(NAMES))
-        .join(base_ids, ["as_of_date", "_id"])
-        .select("as_of_date", "account", *NAMES)
+        .join(accounts, [day, "_b"])
+        .select(day, "account", *NAMES)
     )
-    return narrow.unionByName(far).filter(F.col("n_all") > 0)
 
 
 def related_accounts(
@@ -212,7 +166,6 @@ def related_accounts(
     accounts: DataFrame,
     *,
     closed_months: int = 6,
-    wide: int = WIDE,
 ) -> DataFrame:
     """Open, recently closed, held and owed over all accounts of the same clients (FE9).
 
@@ -239,7 +192,7 @@ def related_accounts(
         ),
         ["as_of_date", "account"],
     )
-    t = related_totals(base_clients, members, wide=wide)
+    t = related_totals(base_clients, members)
     return t.select(
         "as_of_date",
         F.col("account").alias("AccountNumber"),
