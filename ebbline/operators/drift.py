@@ -1,32 +1,33 @@
 """Distribution drift between a baseline and a current table (DR1-DR8).
 
-All features go through one long frame, so the number of jobs does not grow with the
-number of columns.  Exact order statistics come from value counts and skew-safe running
-sums; a feature's values are never gathered in one task.
+All features go through one job, so the number of jobs does not grow with the number of
+columns.  Exact order statistics are selected by refining a histogram, in three scans:
+
+1. range and number of values of every column, in one aggregation without a shuffle;
+2. counts of both sides in ``COARSE`` bins per column;
+3. counts of equal values, but only in bins that can hold a percentile, a bin edge or the
+   largest gap of the two distribution functions.  The gap inside a bin is bounded by the
+   functions at its ends, so a bin whose bound is not above the largest gap at an end is out.
+
+What is left is summed in order without one task per feature.  Results are exact for any
+data; where very many bins can hold the largest gap, more of the table is left.
 
 NULL and NaN values are left out on both sides.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from math import exp, lgamma, log
-import sys
 from typing import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbline.functions.scalars import no_nan, ratio
 from ebbline.operators.ordered import prefix_sums
+from ebbline.session import freeze
 
-# The p-value function travels to the workers by value.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
+COARSE = 4096
 PSI_BINS = 10
 PSI_EDGE_MARGIN = 0.1
 PSI_SMOOTHING = 0.0001
@@ -97,16 +98,6 @@ def zscore_drift(
     )
 
 
-def running_counts(counts: DataFrame) -> DataFrame:
-    """Value counts with cum_n_base and cum_n_cur per feature, and both totals."""
-    cum = prefix_sums(counts, ["feature"], ["value"], ["n_base", "n_cur"])
-    totals = cum.groupBy("feature").agg(
-        F.sum("n_base").alias("total_base"), F.sum("n_cur").alias("total_cur")
-    )
-    # One row per feature: as many as the table has columns.
-    return cum.join(F.broadcast(totals), "feature")
-
-
 def kolmogorov_p(d: Column, n: Column, m: Column) -> Column:
     """Asymptotic two-sample p-value: 2 * sum over k of (-1)^(k-1) * exp(-2 k^2 x^2)."""
     x = d * F.sqrt(n.cast("double") * m / (n + m))
@@ -118,36 +109,6 @@ def kolmogorov_p(d: Column, n: Column, m: Column) -> Column:
     return F.when(x < 0.2, 1.0).otherwise(F.least(F.greatest(total, F.lit(0.0)), F.lit(1.0)))
 
 
-def ks_from_running(cum: DataFrame, p_threshold: float = 0.05) -> DataFrame:
-    gap = F.abs(
-        F.col("cum_n_base") / F.col("total_base").cast("double")
-        - F.col("cum_n_cur") / F.col("total_cur").cast("double")
-    )
-    enough = (F.col("n_base") >= 2) & (F.col("n_cur") >= 2)
-    both = (F.col("total_base") > 0) & (F.col("total_cur") > 0)
-    return (
-        cum.groupBy("feature")
-        .agg(
-            F.max("total_base").alias("n_base"),
-            F.max("total_cur").alias("n_cur"),
-            F.max(F.when(both, gap)).alias("ks_statistic"),
-        )
-        .withColumn("ks_p", F.when(enough, kolmogorov_p(F.col("ks_statistic"), F.col("n_base"), F.col("n_cur"))))
-        .withColumn("ks_drift", F.coalesce(F.col("ks_p") < p_threshold, F.lit(False)))
-    )
-
-
-def ks_drift(
-    baseline: DataFrame, current: DataFrame, cols: Sequence[str], p_threshold: float = 0.05
-) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov per feature (DR3).
-
-    feature, n_base, n_cur, ks_statistic, ks_p, ks_drift.  Fewer than two values on a side
-    give no drift.
-    """
-    return ks_from_running(running_counts(value_counts(baseline, current, cols)), p_threshold)
-
-
 def percentile_edges(cum: DataFrame, bins: int = PSI_BINS) -> DataFrame:
     """feature, edges: exact baseline percentiles with linear interpolation (AG16), the
     outer two moved out by 0.1."""
@@ -201,35 +162,171 @@ def percentile_edges(cum: DataFrame, bins: int = PSI_BINS) -> DataFrame:
     )
 
 
-def bin_index(value: Column, edges: Column, bins: int = PSI_BINS) -> Column:
-    """0-based half-open bin, the last one closed; NULL outside.  Of equal edges the last
-    one counts, so bins of no width stay empty."""
-    reached = [F.when(F.get(edges, F.lit(i)) <= value, 1).otherwise(0) for i in range(bins + 1)]
-    at = reduce(Column.__add__, reached) - 1
-    return F.when(value == F.element_at(edges, -1), F.lit(bins - 1)).when((at >= 0) & (at < bins), at)
+def _finite(v: Column) -> Column:
+    return F.when(F.abs(v) < float("inf"), v)
 
 
-def binned(cum: DataFrame, bins: int = PSI_BINS) -> DataFrame:
-    """feature, bin, n_base, n_cur, total_base, total_cur over baseline percentile bins.
+def _coarse(v: Column, lo: Column, hi: Column) -> Column:
+    """Number of the bin of a value; it never falls as the value rises.
 
-    Empty bins have no row.
+    Bins are of equal width over the finite values.  Halves keep the width finite.
     """
-    # bins + 1 numbers per feature.
-    edges = percentile_edges(cum, bins)
+    width = hi / 2 - lo / 2
+    at = (v / 2 - lo / 2) / width * COARSE
+    last = float(COARSE - 1)
+    inside = F.when(width > 0, F.floor(F.least(F.greatest(at, F.lit(0.0)), F.lit(last))).cast("int")).otherwise(F.lit(0))
+    return F.when(v == float("-inf"), F.lit(0)).when(v == float("inf"), F.lit(COARSE - 1)).otherwise(inside)
+
+
+def _columns(baseline: DataFrame, current: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Both sides as doubles, named by the place of the column."""
+
+    def side(df: DataFrame, now: bool) -> DataFrame:
+        values = [no_nan(F.col(f"`{c}`").try_cast("double")).alias(f"v{j}") for j, c in enumerate(cols)]
+        return df.select(F.lit(now).alias("now"), *values)
+
+    return side(baseline, False).unionByName(side(current, True))
+
+
+def _placed(rows: DataFrame, ranges: DataFrame, n: int) -> DataFrame:
+    """now, feature (a number), bin, value: one row per value.  ``ranges`` is one row."""
+    entries = [
+        F.struct(F.lit(j).alias("feature"), _coarse(F.col(f"v{j}"), F.col(f"lo{j}"), F.col(f"hi{j}")).alias("bin"), F.col(f"v{j}").alias("value"))
+        for j in range(n)
+    ]
     return (
-        cum.join(F.broadcast(edges), "feature")
-        .withColumn("bin", bin_index(F.col("value"), F.col("edges"), bins))
-        .groupBy("feature", "bin", "total_base", "total_cur")
-        .agg(F.sum("n_base").alias("n_base"), F.sum("n_cur").alias("n_cur"))
+        rows.join(F.broadcast(ranges))
+        .select("now", F.explode(F.filter(F.array(*entries), lambda e: e["value"].isNotNull())).alias("e"))
+        .select("now", "e.*")
     )
 
 
-def psi_from_bins(hist: DataFrame) -> DataFrame:
-    e = F.col("n_base") / F.col("total_base").cast("double")
-    a = F.col("n_cur") / F.col("total_cur").cast("double")
-    term = (a - e) * F.ln((a + PSI_SMOOTHING) / (e + PSI_SMOOTHING))
-    known = F.col("bin").isNotNull() & (F.col("total_base") > 0) & (F.col("total_cur") > 0)
-    return hist.groupBy("feature").agg(F.coalesce(F.sum(F.when(known, term)), F.lit(0.0)).alias("psi"))
+def _both_sides() -> list[Column]:
+    return [F.count_if(~F.col("now")).alias("n_base"), F.count_if("now").alias("n_cur")]
+
+
+def _histogram(rows: DataFrame, n: int, bins: int) -> DataFrame:
+    """The coarse bins that hold values: their counts, the counts up to them, what is known
+    of the feature, and whether the bin is to be refined."""
+    base, value = ~F.col("now"), lambda j: F.col(f"v{j}")
+    ranges = rows.agg(
+        *[f(_finite(value(j))).alias(f"{name}{j}") for j in range(n) for name, f in (("lo", F.min), ("hi", F.max))],
+        *[f(F.when(base, value(j))).alias(f"{name}{j}") for j in range(n) for name, f in (("first", F.min), ("last", F.max))],
+        *[F.count(F.when(base, value(j))).alias(f"base{j}") for j in range(n)],
+        *[F.count(F.when(F.col("now"), value(j))).alias(f"cur{j}") for j in range(n)],
+    )
+    names = {"lo": "lo", "hi": "hi", "first": "first", "last": "last", "base": "total_base", "cur": "total_cur"}
+    about = ranges.select(
+        F.inline(F.array(*[F.struct(F.lit(j).alias("feature"), *[F.col(f"{k}{j}").alias(v) for k, v in names.items()]) for j in range(n)]))
+    )
+    by_bin = Window.partitionBy("feature").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    tb, tc = F.col("total_base"), F.col("total_cur")
+
+    def share(count: Column, total: Column) -> Column:
+        return F.when(total > 0, count / total.cast("double"))
+
+    # At most COARSE rows per feature from here on.
+    hist = (
+        _placed(rows, ranges, n)
+        .groupBy("feature", "bin")
+        .agg(*_both_sides())
+        .join(F.broadcast(about), "feature")
+        .withColumns({"cum_base": F.sum("n_base").over(by_bin), "cum_cur": F.sum("n_cur").over(by_bin)})
+        .withColumns({"before_base": F.col("cum_base") - F.col("n_base"), "before_cur": F.col("cum_cur") - F.col("n_cur")})
+        .withColumn("gap", F.abs(share(F.col("cum_base"), tb) - share(F.col("cum_cur"), tc)))
+        .withColumn("gap", F.max("gap").over(Window.partitionBy("feature")))
+    )
+    up = share(F.col("cum_base"), tb) - share(F.col("before_cur"), tc)
+    down = share(F.col("cum_cur"), tc) - share(F.col("before_base"), tb)
+    may_gap = (F.col("n_base") > 0) & (F.col("n_cur") > 0) & (F.greatest(up, down) > F.col("gap"))
+    top = tb - 1
+    holds_rank = F.exists(
+        F.sequence(F.lit(0), F.lit(bins)),
+        lambda k: (F.col("cum_base") > F.floor(top * k / bins)) & (F.col("before_base") <= F.ceil(top * k / bins)),
+    )
+    outer = [_coarse(e, F.col("lo"), F.col("hi")) for e in (F.col("first") - PSI_EDGE_MARGIN, F.col("last") + PSI_EDGE_MARGIN)]
+    holds_edge = (F.col("bin") == outer[0]) | (F.col("bin") == outer[1])
+    return hist.withColumn("refine", F.coalesce((tb > 0) & (holds_rank | holds_edge), F.lit(False)) | F.coalesce(may_gap, F.lit(False)))
+
+
+def numeric_profile(baseline: DataFrame, current: DataFrame, cols: Sequence[str], bins: int = PSI_BINS) -> DataFrame:
+    """feature, n_base, n_cur, ks_statistic, psi for every column that has a value.
+
+    The statistic is NULL and the index 0 where a side has no values.
+    """
+    n = len(cols)
+    rows = _columns(baseline, current, cols)
+    hist = freeze(_histogram(rows, n, bins))
+    # One row again: the range of every column.
+    ranges = hist.agg(*[F.max(F.when(F.col("feature") == j, F.col(k))).alias(f"{k}{j}") for j in range(n) for k in ("lo", "hi")])
+    cells = hist.filter("refine").select("feature", "bin", "before_base", "before_cur", "total_base", "total_cur")
+    exact = (
+        _placed(rows, ranges, n)
+        .join(F.broadcast(cells.select("feature", "bin")), ["feature", "bin"])
+        .groupBy("feature", "bin", "value")
+        .agg(*_both_sides())
+    )
+    inner = prefix_sums(exact, ["feature", "bin"], ["value"], ["n_base", "n_cur"])
+    cum = inner.join(F.broadcast(cells), ["feature", "bin"]).withColumns(
+        {"cum_n_base": F.col("cum_n_base") + F.col("before_base"), "cum_n_cur": F.col("cum_n_cur") + F.col("before_cur")}
+    )
+    both = (F.col("total_base") > 0) & (F.col("total_cur") > 0)
+    gap = F.abs(F.col("cum_n_base") / F.col("total_base").cast("double") - F.col("cum_n_cur") / F.col("total_cur").cast("double"))
+    gaps = cum.groupBy("feature").agg(F.max(F.when(both, gap)).alias("_inner"))
+
+    # Counts below every edge: whole bins before the edge's, and values of its bin.
+    edges = percentile_edges(cum, bins).join(hist.select("feature", "lo", "hi").distinct(), "feature")
+    edges = edges.select("feature", "edges", F.transform("edges", lambda e: _coarse(e, F.col("lo"), F.col("hi"))).alias("at"))
+    sides = ("n_base", "n_cur")
+
+    def below(frame: DataFrame, inside) -> DataFrame:
+        return frame.join(F.broadcast(edges), "feature").groupBy("feature").agg(
+            *[F.sum(F.when(inside(F.get("at", F.lit(k)), F.get("edges", F.lit(k)), k == bins), F.col(c)).otherwise(0)).alias(f"{c}_{k}") for c in sides for k in range(bins + 1)]
+        )
+
+    value, place = F.col("value"), F.col("bin")
+    coarse = below(hist, lambda at, e, last: place < at)
+    fine = below(inner, lambda at, e, last: (place == at) & ((value <= e) if last else (value < e)))
+    summed = coarse.unionByName(fine).groupBy("feature").agg(*[F.sum(c).alias(c) for c in coarse.columns if c != "feature"])
+    totals = hist.groupBy("feature").agg(F.max("total_base").alias("n_base"), F.max("total_cur").alias("n_cur"), F.max("gap").alias("gap"))
+    names = F.array(*[F.lit(c) for c in cols])
+
+    def term(k: int) -> Column:
+        e = (F.col(f"n_base_{k + 1}") - F.col(f"n_base_{k}")) / F.col("n_base").cast("double")
+        a = (F.col(f"n_cur_{k + 1}") - F.col(f"n_cur_{k}")) / F.col("n_cur").cast("double")
+        return (a - e) * F.ln((a + PSI_SMOOTHING) / (e + PSI_SMOOTHING))
+
+    psi = F.lit(0.0)
+    for k in range(bins):
+        psi = psi + term(k)
+    known = (F.col("n_base") > 0) & (F.col("n_cur") > 0)
+    # One row per feature.
+    return (
+        totals.join(F.broadcast(gaps), "feature", "left")
+        .join(F.broadcast(summed), "feature", "left")
+        .select(
+            F.get(names, F.col("feature")).alias("feature"),
+            "n_base",
+            "n_cur",
+            F.greatest("gap", "_inner").alias("ks_statistic"),
+            F.coalesce(F.when(known, psi), F.lit(0.0)).alias("psi"),
+        )
+    )
+
+
+def with_ks(profile: DataFrame, p_threshold: float = 0.05) -> DataFrame:
+    """A profile with ks_p and ks_drift; fewer than two values on a side give no drift."""
+    enough = (F.col("n_base") >= 2) & (F.col("n_cur") >= 2)
+    p = F.when(enough, kolmogorov_p(F.col("ks_statistic"), F.col("n_base"), F.col("n_cur")))
+    return profile.withColumn("ks_p", p).withColumn("ks_drift", F.coalesce(F.col("ks_p") < p_threshold, F.lit(False)))
+
+
+def ks_drift(
+    baseline: DataFrame, current: DataFrame, cols: Sequence[str], p_threshold: float = 0.05
+) -> DataFrame:
+    """Two-sample Kolmogorov-Smirnov per feature (DR3): feature, n_base, n_cur,
+    ks_statistic, ks_p, ks_drift."""
+    return with_ks(numeric_profile(baseline, current, cols), p_threshold).drop("psi")
 
 
 def population_stability_index(
@@ -239,8 +336,7 @@ def population_stability_index(
 
     Current values outside the bins stay in the denominator.  A side without values gives 0.
     """
-    hist = binned(running_counts(value_counts(baseline, current, cols)), bins)
-    return psi_from_bins(hist).withColumn("high", F.col("psi") > PSI_HIGH)
+    return numeric_profile(baseline, current, cols, bins).select("feature", "psi", (F.col("psi") > PSI_HIGH).alias("high"))
 
 
 def jsd_distance(hist: DataFrame, keys: Sequence[str], p: str, q: str) -> DataFrame:
@@ -269,47 +365,45 @@ def jsd_distance(hist: DataFrame, keys: Sequence[str], p: str, q: str) -> DataFr
     return joined.groupBy(*keys).agg(F.sqrt(F.greatest(half, F.lit(0.0))).alias("jsd"))
 
 
-def chi2_sf(x: np.ndarray, dof: np.ndarray) -> np.ndarray:
-    """Upper tail of the chi-square distribution (regularised incomplete gamma)."""
-    out = np.full(len(x), np.nan)
-    for i, (chi, k) in enumerate(zip(x, dof)):
-        if not np.isfinite(chi) or not np.isfinite(k):
-            continue
-        if k <= 0 or chi <= 0:
-            out[i] = 1.0
-            continue
-        a, z = k / 2.0, chi / 2.0
-        front = exp(-z + a * log(z) - lgamma(a))
-        if z < a + 1:
-            # Series for the lower tail.
-            term = total = 1.0 / a
-            n = a
-            while abs(term) > abs(total) * 1e-16:
-                n += 1
-                term *= z / n
-                total += term
-            out[i] = max(0.0, 1.0 - total * front)
-        else:
-            # Continued fraction for the upper tail.
-            tiny = 1e-300
-            b = z + 1 - a
-            c, d = 1 / tiny, 1 / b
-            h = d
-            for n in range(1, 10_000):
-                an = -n * (n - a)
-                b += 2
-                d = 1 / (an * d + b or tiny)
-                c = b + an / c or tiny
-                h *= d * c
-                if abs(d * c - 1) < 1e-15:
-                    break
-            out[i] = front * h
-    return out
-
-
-@F.pandas_udf(T.DoubleType())
-def _chi2_p(stat: pd.Series, dof: pd.Series) -> pd.Series:
-    return pd.Series(chi2_sf(stat.to_numpy(float), dof.to_numpy(float)))
+def log_gamma(x: Column) -> Column:
+    """Logarithm of the gamma function of a positive number, by Stirling's series at x + 8."""
+    y = x + 8
+    series = 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - 1 / (1680 * y**7)
+    shift = F.lit(0.0)
+    for i in range(8):
+        shift = shift + F.ln(x + i)
+    return (y - 0.5) * F.ln(y) - y + 0.9189385332046727 + series - shift
+
+
+def chi2_tail(stat: Column, dof: Column) -> Column:
+    """Upper tail of the chi-square distribution: the regularised incomplete gamma function,
+    by its series below the mean and its continued fraction above.
+
+    The number of steps follows the root of the degrees of freedom, as both need."""
+    a, z = dof.cast("double") / 2, stat / 2
+    steps = F.sequence(F.lit(1), (F.lit(60) + 10 * F.sqrt(a)).cast("int"))
+    front = F.exp(-z + a * F.ln(z) - log_gamma(a))
+
+    def add(s: Column, n: Column) -> Column:
+        term = s["term"] * z / (a + n)
+        return F.struct(term.alias("term"), (s["total"] + term).alias("total"))
+
+    lower = F.aggregate(steps, F.struct((1 / a).alias("term"), (1 / a).alias("total")), add, lambda s: s["total"])
+
+    def fraction(s: Column, n: Column) -> Column:
+        an, b = -n * (n - a), s["b"] + 2
+        d = 1 / F.nullif(an * s["d"] + b, F.lit(0.0))
+        c = b + an / s["c"]
+        return F.struct(b.alias("b"), c.alias("c"), d.alias("d"), (s["h"] * d * c).alias("h"))
+
+    b = z + 1 - a
+    first = F.struct(b.alias("b"), F.lit(1e300).alias("c"), (1 / b).alias("d"), (1 / b).alias("h"))
+    upper = F.aggregate(steps, first, fraction, lambda s: s["h"])
+    return (
+        F.when((dof <= 0) | (stat <= 0), F.lit(1.0))
+        .when(z < a + 1, F.greatest(F.lit(0.0), 1 - lower * front))
+        .when(z >= a + 1, F.when(front > 0, front * upper).otherwise(F.lit(0.0)))
+    )
 
 
 def chi_square_drift(
@@ -339,8 +433,7 @@ def chi_square_drift(
         counts.join(F.broadcast(totals), "feature")
         .groupBy("feature", "dof")
         .agg(F.sum(F.when(usable, cell("n_base", tb) + cell("n_cur", tc))).alias("chi2"))
-        # The p-value needs Python for one row per feature only.
-        .withColumn("chi2_p", _chi2_p(F.col("chi2"), F.col("dof").cast("double")))
+        .withColumn("chi2_p", chi2_tail(F.col("chi2"), F.col("dof")))
         .select(
             "feature",
             "chi2",
@@ -355,22 +448,21 @@ def detect_drift(baseline: DataFrame, current: DataFrame, p_threshold: float = 0
     """Drift verdict per shared column, and overall (DR7).
 
     feature, type, statistic, p_value, psi, drift_detected, overall_drift.  Numeric columns
-    drift by Kolmogorov-Smirnov or a high PSI, the others by chi-square.
+    drift by Kolmogorov-Smirnov or a high PSI, the others by chi-square.  A column without
+    any value on both sides has no row.
     """
     shared = baseline.select(*[c for c in baseline.columns if c in set(current.columns)])
     numeric, other = split_columns(shared)
     parts = []
     if numeric:
-        cum = running_counts(value_counts(baseline, current, numeric))
-        both = ks_from_running(cum, p_threshold).join(psi_from_bins(binned(cum)), "feature", "left")
         parts.append(
-            both.select(
+            with_ks(numeric_profile(baseline, current, numeric), p_threshold).select(
                 "feature",
                 F.lit("numerical").alias("type"),
                 F.col("ks_statistic").alias("statistic"),
                 F.col("ks_p").alias("p_value"),
-                F.coalesce("psi", F.lit(0.0)).alias("psi"),
-                (F.col("ks_drift") | F.coalesce(F.col("psi") > PSI_HIGH, F.lit(False))).alias("drift_detected"),
+                "psi",
+                (F.col("ks_drift") | (F.col("psi") > PSI_HIGH)).alias("drift_detected"),
             )
         )
     if other:
