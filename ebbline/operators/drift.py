@@ -190,14 +190,14 @@ def _columns(baseline: DataFrame, current: DataFrame, cols: Sequence[str]) -> Da
 
 def _placed(rows: DataFrame, ranges: DataFrame, n: int) -> DataFrame:
     """now, feature (a number), bin, value: one row per value.  ``ranges`` is one row."""
-    entries = [
-        F.struct(F.lit(j).alias("feature"), _coarse(F.col(f"v{j}"), F.col(f"lo{j}"), F.col(f"hi{j}")).alias("bin"), F.col(f"v{j}").alias("value"))
-        for j in range(n)
-    ]
+    # The bin is taken after the rows are made: one short expression, whatever the columns.
+    entries = [F.struct(F.lit(j).alias("feature"), *[F.col(f"{k}{j}").alias(k) for k in ("lo", "hi")], F.col(f"v{j}").alias("value")) for j in range(n)]
     return (
         rows.join(F.broadcast(ranges))
-        .select("now", F.explode(F.filter(F.array(*entries), lambda e: e["value"].isNotNull())).alias("e"))
+        .select("now", F.explode(F.array(*entries)).alias("e"))
         .select("now", "e.*")
+        .filter(F.col("value").isNotNull())
+        .select("now", "feature", _coarse(F.col("value"), F.col("lo"), F.col("hi")).alias("bin"), "value")
     )
 
 
