@@ -5,7 +5,7 @@ from __future__ import annotations
 import calendar
 import datetime as dt
 from dataclasses import dataclass
-from typing import Iterable, Sequence
+from typing import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,6 +70,38 @@ class AsOf:
         return pairs
 
 
+# Days of one chain are the bits of a long.
+CHAIN_DAYS = 62
+
+
+def chains(asof: AsOf, months: int) -> list[tuple[list[dt.date], dict[dt.date, int]]]:
+    """The month series of all as-of dates as bit masks (PF7).
+
+    A chain is a list of snapshot days in order and, per ``as_of_date``, the mask of the
+    days of its series, which follow each other in the chain.  As-of dates one month apart
+    share a chain; a day is in a further chain only where a chain is full or the days of
+    the month differ.
+    """
+    one = dt.timedelta(days=1)
+    out: list[tuple[list[dt.date], dict[dt.date, list[dt.date]]]] = []
+
+    def follows(days: list[dt.date], series: list[dt.date]) -> bool:
+        at = days.index(series[0])
+        return days[at : at + len(series)] == series
+
+    for day in asof.days:
+        series = [s - one for s in monthly(add_months(day, -months), day)]
+        for days, dates in reversed(out):
+            both = sorted({*days, *series})
+            if len(both) <= CHAIN_DAYS and all(follows(both, s) for s in [series, *dates.values()]):
+                days[:] = both
+                dates[day - one] = series
+                break
+        else:
+            out.append((sorted(series), {day - one: series}))
+    return [(days, {d: sum(1 << days.index(s) for s in series) for d, series in dates.items()}) for days, dates in out]
+
+
 def asof_dates(
     train: tuple[dt.date, dt.date] | None = None,
     test: tuple[dt.date, dt.date] | None = None,
@@ -141,7 +173,3 @@ def month_ends(dates: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
         .select(day.alias("TransactionMonth"))
         .distinct()
     )
-
-
-def days_in(values: Sequence[dt.date]) -> tuple[dt.date, dt.date]:
-    return min(values), max(values)

@@ -13,7 +13,7 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbline.functions.dates import AsOf, age_years, at_month_series, at_snapshot, month_diff, ymd_to_date
+from ebbline.functions.dates import AsOf, age_years, at_month_series, at_snapshot, chains, month_diff, ymd_to_date
 from ebbline.functions.scalars import (
     PRODUCT_GROUPS,
     bucket_label,
@@ -147,14 +147,42 @@ def attribute_changed(
 ) -> DataFrame:
     """1 when a client's attribute differs between month-series snapshots (FE7).
 
-    A window group is one client, attribute kind and as-of date: at most
-    ``months + 1`` snapshots.
+    Each row is read once for all as-of dates.  Per client and attribute kind, three masks
+    over the days say where there is a row, where a day differs from the day before it that
+    has one, and where rows of one day differ.  A date's series is a mask of the same days;
+    what differs from before its first day does not count.  Rows are shuffled once, by
+    client, and one row per client and date meets the accounts.
     """
-    w = Window.partitionBy("as_of_date", "ClientNumber", kind).orderBy("EndOfDayDate", value)
-    steps = at_month_series(
-        history.select("ClientNumber", kind, "EndOfDayDate", value), asof, months
-    ).withColumn("_changed", (F.col(value) != F.lag(value).over(w)).cast("int"))
-    per_client = steps.groupBy("as_of_date", "ClientNumber").agg(F.sum("_changed").alias("_n"))
+    found = chains(asof, months)
+    spark = history.sparkSession
+    days = spark.createDataFrame([(d, c, i) for c, (ds, _) in enumerate(found) for i, d in enumerate(ds)], "EndOfDayDate date, _chain int, _at int")
+    dates = spark.createDataFrame([(c, d, m) for c, (_, ms) in enumerate(found) for d, m in ms.items()], "_chain int, as_of_date date, _days long")
+    w = Window.partitionBy("_chain", "ClientNumber", kind).orderBy("_at", value)
+    none = F.lit(0).cast("long")
+    differs = F.col(value) != F.lag(value).over(w)
+    # Calendar maps: bounded by the as-of dates.
+    masks = (
+        history.select("ClientNumber", kind, "EndOfDayDate", value)
+        .filter(F.col("EndOfDayDate").isin(sorted({d for ds, _ in found for d in ds})))
+        .repartition("ClientNumber")
+        .join(F.broadcast(days), "EndOfDayDate")
+        .withColumns({"_bit": F.expr("shiftleft(1L, _at)"), "_differs": differs, "_same": F.col("_at") == F.lag("_at").over(w)})
+        .groupBy("_chain", "ClientNumber", kind)
+        .agg(
+            F.bit_or("_bit").alias("_seen"),
+            F.bit_or(F.when(F.col("_differs") & ~F.col("_same"), F.col("_bit")).otherwise(none)).alias("_across"),
+            F.bit_or(F.when(F.col("_differs") & F.col("_same"), F.col("_bit")).otherwise(none)).alias("_within"),
+        )
+    )
+    here = F.col("_seen").bitwiseAND(F.col("_days"))
+    first = here.bitwiseAND(-here)
+    moved = F.col("_across").bitwiseAND(F.col("_days")).bitwiseAND(F.bitwise_not(first)) + F.col("_within").bitwiseAND(F.col("_days"))
+    per_client = (
+        masks.join(F.broadcast(dates), "_chain")
+        .filter(here != 0)
+        .groupBy("as_of_date", "ClientNumber")
+        .agg(F.max(F.when(moved != 0, 1).otherwise(0)).alias("_n"))
+    )
     holders = cmap.filter(F.col("GeneralAccountTypeDescription") == account_kind).select(*KEY, "ClientNumber")
     return (
         holders.join(per_client, ["as_of_date", "ClientNumber"])
@@ -210,24 +238,34 @@ def activity_change(
 ) -> DataFrame:
     """Recent against prior monthly activity of an account's clients (FE10).
 
-    ``measures`` maps an activity column to its output name.
+    ``measures`` maps an activity column to its output name.  Rows are shuffled once, by
+    client.  A client and date is one row: the sum of each measure over the recent and the
+    prior months, and a mask of the months that have it.  An account adds up sums and joins
+    masks, so the mean is over the months that any of its clients has.
     """
-    month = F.trunc("EndOfDayDate", "MM")
+    back = month_diff(F.col("as_of_date"), F.trunc("EndOfDayDate", "MM"))
+    windows = {"recent": recent, "prior": prior}
+
+    def inside(m: str, window: tuple[int, int]) -> Column:
+        return F.col("_back").between(*window) & F.col(m).isNotNull()
+
+    month = F.expr("shiftleft(1L, greatest(_back, 0))")
     series = at_month_series(
-        activity.select("ClientNumber", "EndOfDayDate", *measures), asof, months
-    ).withColumn("_back", month_diff(F.col("as_of_date"), month))
-    monthly = (
-        cmap.select(*KEY, "ClientNumber")
-        .join(series, ["as_of_date", "ClientNumber"])
-        .groupBy(*KEY, "_back")
-        .agg(*[F.sum(m).alias(m) for m in measures])
+        activity.select("ClientNumber", "EndOfDayDate", *measures).repartition("ClientNumber"), asof, months
+    ).withColumn("_back", back)
+    per_client = series.groupBy("as_of_date", "ClientNumber").agg(
+        *[F.sum(F.when(inside(m, w), F.col(m))).alias(f"_{n}_{m}") for m in measures for n, w in windows.items()],
+        *[F.bit_or(F.when(inside(m, w), month)).alias(f"_{n}_months_{m}") for m in measures for n, w in windows.items()],
     )
 
-    def mean(m: str, window: tuple[int, int]) -> Column:
-        return F.avg(F.when(F.col("_back").between(*window), F.col(m).cast("double")))
+    def mean(m: str, n: str) -> Column:
+        return F.sum(f"_{n}_{m}").cast("double") / F.nullif(F.bit_count(F.bit_or(f"_{n}_months_{m}")), F.lit(0))
 
-    return monthly.groupBy(*KEY).agg(
-        *[relative_change(mean(m, recent), mean(m, prior)).alias(out) for m, out in measures.items()]
+    return (
+        cmap.select(*KEY, "ClientNumber")
+        .join(per_client, ["as_of_date", "ClientNumber"])
+        .groupBy(*KEY)
+        .agg(*[relative_change(mean(m, "recent"), mean(m, "prior")).alias(out) for m, out in measures.items()])
     )
 
 
