@@ -74,6 +74,29 @@ def prefix_sums(
     return joined.select(*plain, *sums)
 
 
+def _continued(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """_bucket, keys, _before, _total of the keys that lie in several buckets.
+
+    Buckets follow each other in key order, so a bucket has at most two of them: there are
+    at most twice as many rows as buckets, whatever the number of keys.
+    """
+    parts = Window.partitionBy(*keys)
+    earlier = parts.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        placed.groupBy("_bucket", *keys)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumns(
+            {
+                "_before": F.coalesce(F.sum("_n").over(earlier), F.lit(0)),
+                "_total": F.sum("_n").over(parts),
+                "_parts": F.count(F.lit(1)).over(parts),
+            }
+        )
+        .filter(F.col("_parts") > 1)
+        .drop("_n", "_parts")
+    )
+
+
 def row_ranks(
     df: DataFrame,
     keys: Sequence[str],
@@ -83,38 +106,27 @@ def row_ranks(
 ) -> DataFrame:
     """Add ``row_rank`` (0-based, per key, in ``order``) and ``group_rows``.
 
-    ``order`` needs a unique last column.  For few keys (dates, segments): the frame
-    that is broadcast has at most one row per bucket and per key.
+    ``order`` needs a unique last column.  A key within one bucket is ranked there; only
+    keys that go on into further buckets are shifted by what a broadcast row says.
     """
     keys = list(keys)
-    cols = [F.col(k) for k in keys] + [F.col(c) if isinstance(c, str) else c for c in order]
-    # The sorted partition position is the rank inside the bucket: the generated id
-    # counts rows from 0 in its lower 33 bits.
+    by = [F.col(c) if isinstance(c, str) else c for c in order]
     placed = freeze(
-        df.repartitionByRange(_buckets(df, buckets), *cols)
-        .sortWithinPartitions(*cols)
-        .withColumn("_id", F.monotonically_increasing_id())
-        .withColumn("_bucket", F.shiftrightunsigned("_id", 33).cast("int"))
-        .withColumn("_pos", F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)))
-        .drop("_id")
+        df.repartitionByRange(_buckets(df, buckets), *[F.col(k) for k in keys], *by).withColumn(
+            "_bucket", F.spark_partition_id()
+        )
     )
-    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1
+    inside = Window.partitionBy("_bucket", *keys)
+    local = placed.withColumns(
+        {"_rank": F.row_number().over(inside.orderBy(*by)) - 1, "_rows": F.count(F.lit(1)).over(inside)}
     )
-    whole = Window.partitionBy(*keys)
-    starts = (
-        placed.groupBy("_bucket", *keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        .withColumn("group_rows", F.sum("_n").over(whole))
-        .withColumn("_shift", F.col("_before") - F.col("_first"))
-        .drop("_n", "_first", "_before")
+    joined = local.alias("l").join(
+        F.broadcast(_continued(placed, keys)).alias("s"), _same_key("l", "s", keys), "left"
     )
-    joined = placed.alias("l").join(F.broadcast(starts).alias("s"), _same_key("l", "s", keys))
     return joined.select(
         *[F.col(f"l.{c}") for c in df.columns],
-        (F.col("l._pos") + F.col("s._shift")).alias("row_rank"),
-        F.col("s.group_rows").alias("group_rows"),
+        (F.col("l._rank") + F.coalesce(F.col("s._before"), F.lit(0))).alias("row_rank"),
+        F.coalesce(F.col("s._total"), F.col("l._rows")).alias("group_rows"),
     )
 
 

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ebbline.operators.ordered import ntile, prefix_sums, row_ranks
+from ebbline.operators.ordered import _continued, ntile, prefix_sums, row_ranks
 
 
 def hot_frame(spark, n=3000):
@@ -61,3 +61,15 @@ def test_prefix_sums_property(spark, rows):
     pdf["want"] = pdf.groupby("k").v.cumsum()
     got = prefix_sums(spark.createDataFrame(pdf), ["k"], ["o"], ["v"], buckets=4)
     assert got.filter("cum_v <> want").isEmpty()
+
+
+def test_ranks_equal_a_plain_window_and_broadcast_little(spark):
+    """A key per row, a hot key and a null key: what is broadcast follows the buckets only."""
+    key = F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 500 != 1, F.concat(F.lit("k"), F.col("id")))
+    df = spark.range(20_000).select(key.alias("k"), ((F.col("id") * 7919) % 20_011).alias("o"))
+    w = Window.partitionBy("k")
+    want = df.withColumns({"row_rank": F.row_number().over(w.orderBy("o")) - 1, "group_rows": F.count(F.lit(1)).over(w)})
+    got = row_ranks(df, ["k"], ["o"], buckets=9)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    placed = df.repartitionByRange(9, "k", "o").withColumn("_bucket", F.spark_partition_id())
+    assert 2 <= _continued(placed, ["k"]).count() <= 18
