@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbline.functions.scalars import ratio
+from ebbline.operators.ordered import prefix_sums
 from ebbline.operators.quality import missing_columns
 
 # Category lists are held by the driver and by every task, so their size is checked.
@@ -239,10 +240,10 @@ def fraud_features(
 
     The z-score and the risk come from an aggregate joined back, so a hot entity or merchant
     is reduced before the shuffle.  Velocity counts an entity's events in the ``hours`` up
-    to and including the event.  It is counted in tiles of ``hours``: an event is copied to
-    its own and the next tile, a window runs per entity and tile, and the copies are
-    dropped.  A hot entity is so split over all its tiles.  Events of one instant are
-    merged first.
+    to and including the event: the events up to its instant, less those up to ``hours``
+    before.  Both counts come from one running sum per entity over its instants and over
+    probes ``hours`` before them, so a hot entity or a hot hour is spread over buckets.
+    Events of one instant are merged first.
     """
     v = F.col(amount).cast("double")
     per_entity = df.groupBy(entity).agg(F.avg(v).alias("_mean"), F.stddev_samp(v).alias("_std"))
@@ -251,13 +252,14 @@ def fraud_features(
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
     span = hours * 3600 * 1_000_000
     instants = df.groupBy(entity, micros.alias("_t")).agg(F.count(F.lit(1)).alias("_n"))
-    own = F.floor(F.col("_t") / span).cast("bigint")
-    tiles = instants.withColumn("_own", own).withColumn("_tile", F.explode(F.array("_own", F.col("_own") + 1)))
-    w = Window.partitionBy(entity, "_tile").orderBy("_t").rangeBetween(-(span - 1), 0)
+    probes = instants.select(entity, (F.col("_t") - span).alias("_t"), F.lit(0).cast("bigint").alias("_n"), F.lit(1).alias("_probe"))
+    # An event at the probe's own instant is outside: it comes first.
+    counted = prefix_sums(instants.withColumn("_probe", F.lit(0)).unionByName(probes), [entity], ["_t", "_probe"], ["_n"])
+    signed = F.when(F.col("_probe") == 0, F.col("cum__n")).otherwise(-F.col("cum__n"))
     velocity = (
-        tiles.withColumn("velocity_score", F.sum("_n").over(w))
-        .filter(F.col("_tile") == F.col("_own"))
-        .select(entity, "_t", "velocity_score")
+        counted.select(entity, (F.col("_t") + F.col("_probe") * F.lit(span)).alias("_t"), signed.alias("_n"))
+        .groupBy(entity, "_t")
+        .agg(F.sum("_n").alias("velocity_score"))
     )
     return (
         df.withColumn("_t", micros)
