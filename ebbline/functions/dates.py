@@ -10,11 +10,6 @@ from typing import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The as-of calendar is kept in the plan as literals and as broadcast frames, so its
-# size is limited here: 2,000 months is more than 160 years.
-MAX_ASOF_DATES = 2_000
-
-
 def add_months(day: dt.date, n: int) -> dt.date:
     """Shift by whole months, clipping to the last day of a shorter month."""
     total = day.year * 12 + day.month - 1 + n
@@ -44,8 +39,6 @@ class AsOf:
             raise ValueError("no as-of dates")
         if len(set(days)) != len(days):
             raise ValueError("an as-of date belongs to two splits")
-        if len(days) > MAX_ASOF_DATES:
-            raise ValueError(f"more than {MAX_ASOF_DATES} as-of dates")
 
     @property
     def days(self) -> list[dt.date]:

@@ -24,21 +24,27 @@ def valid_at(
     """Rows of a validity-interval table at each ``E`` (PF10, PF11, J9).
 
     An open end counts as valid up to ``run_date``.  A closed end is exclusive unless
-    ``inclusive``.  Each row is matched against the constant date list in place, so
-    this needs neither a range join nor a shuffle, and it emits matches only.
+    ``inclusive``.  A row is written for each month that its interval shares with the
+    calendar, and meets the as-of dates of that month by equality; the days are compared
+    in the join.  The date table is broadcast, so rows are not shuffled and only matches
+    leave the join, however many dates there are.
     """
     s, e = F.col(start).cast("date"), F.col(end).cast("date")
     days = asof.snapshots
-    last = F.coalesce(e, F.lit(run_date))
-
-    def holds(day: Column) -> Column:
-        before_end = e.isNull() | ((e >= day) if inclusive else (e > day))
-        return (s <= day) & (day <= last) & before_end
-
+    until = F.least(F.coalesce(e, F.lit(run_date)), F.lit(days[-1]))
+    since = F.greatest(s, F.lit(days[0]))
+    dates = asof.frame(df.sparkSession).select("as_of_date", F.trunc("as_of_date", "MM").alias("_month"))
+    day = F.col("as_of_date")
+    before_end = F.col("_end").isNull() | ((F.col("_end") >= day) if inclusive else (F.col("_end") > day))
     # First a plain range filter, which reaches the scan.
     return (
         df.filter((F.col(start) <= F.lit(days[-1])) & (F.col(end).isNull() | (F.col(end) >= F.lit(days[0]))))
-        .withColumn("as_of_date", F.explode(F.filter(date_array(days), holds)))
+        .withColumns({"_start": s, "_end": e, "_from": F.trunc(since, "MM"), "_to": F.trunc(until, "MM")})
+        .filter(F.col("_from") <= F.col("_to"))
+        .withColumn("_month", F.explode(F.expr("sequence(_from, _to, interval 1 month)")))
+        .join(F.broadcast(dates), "_month")
+        .filter((F.col("_start") <= day) & (day <= F.coalesce("_end", F.lit(run_date))) & before_end)
+        .drop("_month", "_start", "_end", "_from", "_to")
     )
 
 

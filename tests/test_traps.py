@@ -271,3 +271,21 @@ def test_spine_keeps_empty_months_under_no_loan(spark):
     assert got == {("L", D(2020, 1, 31)): (30.0, 1), (None, D(2020, 2, 29)): (None, None)}
     rows = tx.spine_pivot(monthly_rows, spine, count="rows").filter("HomeLoanAccountNumber = 'L'").first()
     assert rows.NumTrans_Savings_Credit == 6  # three transactions through each of two clients
+
+
+def test_validity_over_thousands_of_dates(spark):
+    """More as-of dates than a plan could hold as literals, on days all over the month."""
+    days = [D(2000, 1, 1) + dt.timedelta(days=i) for i in range(0, 9000, 3)]
+    asof = AsOf(tuple((d, "train") for d in days))
+    rows = [(1, D(1999, 5, 5), D(2000, 3, 1)), (2, D(2003, 2, 28), None), (3, D(2024, 8, 20), D(2030, 1, 1)), (4, None, None), (5, D(2010, 1, 31), D(2010, 1, 31))]
+    df = spark.createDataFrame(rows, "i int, RowStartDate date, RowEndDate date")
+    run = D(2005, 6, 15)
+    for inclusive in (False, True):
+        got = {(r.i, r.as_of_date) for r in valid_at(df, asof, run_date=run, inclusive=inclusive).collect()}
+        want = {
+            (i, e)
+            for i, s, end in rows
+            for e in asof.snapshots
+            if s and s <= e and (e <= run if end is None else (e <= end if inclusive else e < end))
+        }
+        assert got == want
