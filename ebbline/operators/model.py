@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 from typing import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,8 +19,8 @@ from ebbline.functions.scalars import ratio
 from ebbline.operators.ordered import prefix_sums
 from ebbline.operators.quality import missing_columns
 
-# Category lists are held by the driver and by every task, so their size is checked.
-MAX_CATEGORIES = 1_000
+# Places of a category column in the feature vector, for each of its two hashes.
+SLOTS = 32
 
 
 def feature_columns(df: DataFrame, exclude: Sequence[str] = ()) -> tuple[list[str], list[str]]:
@@ -30,23 +31,23 @@ def feature_columns(df: DataFrame, exclude: Sequence[str] = ()) -> tuple[list[st
     return numeric, text
 
 
-def prepare(df: DataFrame, numeric: Sequence[str], text: Sequence[str]) -> DataFrame:
-    """Numeric features as double, missing text as its own category."""
-    casts: dict[str, Column] = {c: F.col(c).cast("double") for c in numeric}
-    casts.update({c: F.coalesce(F.col(c), F.lit("(missing)")) for c in text})
+def prepare(df: DataFrame, numeric: Sequence[str], text: Sequence[str], blank: Sequence[str] = ()) -> DataFrame:
+    """Numeric features as double with a flag where they are missing; text with missing as
+    its own category, and once more under another hash.  ``blank`` columns count as zero."""
+    casts: dict[str, Column] = {}
+    for c in numeric:
+        v = F.col(c).cast("double")
+        casts[c] = v
+        casts[f"{c}__m"] = (v.isNull() | F.isnan(v)).cast("double")
+        if c in blank:
+            casts[f"{c}__f"] = F.lit(0.0)
+    for c in text:
+        v = F.coalesce(F.col(c), F.lit("(missing)"))
+        casts[c] = v
+        casts[f"{c}__2"] = F.reverse(F.concat(v, F.lit("/2")))
     return df.withColumns(casts)
 
 
-def check_categories(df: DataFrame, text: Sequence[str], limit: int = MAX_CATEGORIES) -> None:
-    """Refuse columns such as account numbers as categories."""
-    if not text:
-        return
-    counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in text]).first()
-    wide = {c: counts[c] for c in text if counts[c] > limit}
-    if wide:
-        raise ValueError(f"too many categories to encode: {wide}")
-
-
 def train_forest(
     df: DataFrame,
     *,
@@ -57,26 +58,33 @@ def train_forest(
     min_leaf: int = 1,
     seed: int = 42,
     weight: str | None = None,
-    max_categories: int = MAX_CATEGORIES,
+    slots: int = SLOTS,
 ) -> PipelineModel:
-    """Encode, impute, assemble and fit a random forest on the executors (ML1, ML2)."""
+    """Encode, impute, assemble and fit a random forest on the executors (ML1, ML2).
+
+    A category column becomes up to ``slots`` places under each of two hashes, so any number of
+    categories is taken and no list of them is held; two categories that share a place
+    under one hash are told apart by the other.  Missing numbers get the mean and a flag.
+    A column without any value stays in the model, as zero with its flag.
+    """
     numeric, text = feature_columns(df, [label, *exclude, *([weight] if weight else [])])
-    check_categories(df, text, max_categories)
-    # A column with no value at all cannot be imputed.
-    present = df.agg(*[F.count(c).alias(c) for c in numeric]).first() if numeric else {}
-    numeric = [c for c in numeric if present[c] > 0]
-    rows = prepare(df, numeric, text).withColumn(label, F.col(label).cast("double"))
-    stages = []
-    if text:
-        stages.append(
-            StringIndexer(inputCols=list(text), outputCols=[f"{c}__i" for c in text], handleInvalid="keep")
-        )
-        stages.append(OneHotEncoder(inputCols=[f"{c}__i" for c in text], outputCols=[f"{c}__v" for c in text]))
-    if numeric:
-        stages.append(
-            Imputer(inputCols=list(numeric), outputCols=[f"{c}__f" for c in numeric], strategy="mean")
-        )
-    inputs = [f"{c}__f" for c in numeric] + [f"{c}__v" for c in text]
+    # One number per column: how many values, or about how many categories it has.
+    counts = [F.count(F.nanvl(F.col(c).cast("double"), F.lit(None))).alias(c) for c in numeric]
+    kinds = [F.approx_count_distinct(c).alias(c) for c in text]
+    known = df.agg(*counts, *kinds).first() if counts or kinds else {}
+    blank = [c for c in numeric if known[c] == 0]
+    filled = [c for c in numeric if known[c] > 0]
+    rows = prepare(df, numeric, text, blank).withColumn(label, F.col(label).cast("double"))
+    # Few categories take few places, so that they do not crowd out the other features.
+    places = {c: min(slots, 2 << known[c].bit_length()) for c in text}
+    stages: list = [
+        FeatureHasher(inputCols=[source], outputCol=out, numFeatures=places[c], categoricalCols=[source])
+        for c in text
+        for source, out in ((c, f"{c}__v"), (f"{c}__2", f"{c}__w"))
+    ]
+    if filled:
+        stages.append(Imputer(inputCols=filled, outputCols=[f"{c}__f" for c in filled], strategy="mean"))
+    inputs = [f"{c}__{k}" for c in numeric for k in "fm"] + [f"{c}__{k}" for c in text for k in "vw"]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features__", handleInvalid="keep"))
     forest = RandomForestClassifier(
         labelCol=label,
@@ -105,27 +113,28 @@ def stored(fitted: PipelineModel, path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def _inputs(model: PipelineModel) -> tuple[list[str], list[str]]:
-    numeric = next((list(s.getInputCols()) for s in model.stages if s.__class__.__name__ == "ImputerModel"), [])
-    text = next((list(s.getInputCols()) for s in model.stages if s.__class__.__name__ == "StringIndexerModel"), [])
-    return numeric, text
+def _inputs(model: PipelineModel) -> tuple[list[str], list[str], list[str]]:
+    """(numeric, text, blank) features of a fitted model."""
+    inputs = next(s.getInputCols() for s in model.stages if isinstance(s, VectorAssembler))
+    filled = {c for s in model.stages if s.__class__.__name__ == "ImputerModel" for c in s.getInputCols()}
+    numeric = [c[:-3] for c in inputs if c.endswith("__f")]
+    return numeric, [c[:-3] for c in inputs if c.endswith("__v")], [c for c in numeric if c not in filled]
 
 
 def required_features(model: PipelineModel) -> list[str]:
-    numeric, text = _inputs(model)
+    numeric, text, _ = _inputs(model)
     return numeric + text
 
 
 def feature_importance(model: PipelineModel, sample: DataFrame) -> DataFrame:
-    """feature, importance, summed over the slots of an encoded category."""
-    numeric, text = _inputs(model)
-    scored = model.transform(prepare(sample, numeric, text))
+    """feature, importance, summed over the flag of a number and the slots of a category."""
+    scored = model.transform(prepare(sample, *_inputs(model)))
     attrs = scored.schema["features__"].metadata["ml_attr"]["attrs"]
     names = {a["idx"]: a["name"] for group in attrs.values() for a in group}
     weights = model.stages[-1].featureImportances.toArray()
     totals: dict[str, float] = {}
     for i, w in enumerate(weights):
-        feature = names[i].split("__")[0]
+        feature = names[i].rsplit("__", 1)[0]
         totals[feature] = totals.get(feature, 0.0) + float(w)
     return sample.sparkSession.createDataFrame(
         sorted(totals.items(), key=lambda kv: -kv[1]), "feature string, importance double"
@@ -137,10 +146,9 @@ def score(model: PipelineModel, features: DataFrame, name: str = "churn_score")
     gone = missing_columns(features, required_features(model))
     if gone:
         raise ValueError(f"missing feature columns: {gone}")
-    numeric, text = _inputs(model)
     # Prepared copies go in under the model's names; the caller's columns come back as they were.
     kept = features.select("*", F.struct(*[F.col(c) for c in features.columns]).alias("row__"))
-    out = model.transform(prepare(kept, numeric, text))
+    out = model.transform(prepare(kept, *_inputs(model)))
     # A model that saw one class only has no second entry.
     p = F.coalesce(F.get(vector_to_array("probability__"), F.lit(1)), F.lit(0.0))
     return out.select("row__.*", p.alias(name))
@@ -183,10 +191,30 @@ def stamp(
     )
 
 
+def key_digest(keys: Sequence[str]) -> Column:
+    """md5 of the keys as text, joined by a bar; every engine can state it again."""
+    return F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).cast("binary"))
+
+
+def _digest_cut(df: DataFrame, keys: Sequence[str], quota: Column) -> DataFrame:
+    """One row, ``_cut``: the digest of the first key that does not fit into ``quota`` rows in
+    digest order, NULL when all fit.  ``quota`` may use ``_total``, the number of rows."""
+    counts = df.groupBy(key_digest(keys).alias("_digest")).agg(F.count(F.lit(1)).alias("_n"))
+    total = df.agg(F.count(F.lit(1)).alias("_total"))
+    # One row each.
+    return (
+        prefix_sums(counts, [], ["_digest"], ["_n"])
+        .join(F.broadcast(total))
+        .agg(F.min(F.when(F.col("cum__n") > quota, F.col("_digest"))).alias("_cut"))
+    )
+
+
 def hash_split(df: DataFrame, keys: Sequence[str], train_pct: int = 80) -> DataFrame:
-    """Add ``split`` by a hash of the key: the same key always lands on the same side."""
-    part = F.pmod(F.xxhash64(*keys), F.lit(100))
-    return df.withColumn("split", F.when(part < train_pct, "train").otherwise("test"))
+    """Add ``split``: the first ``train_pct`` percent of the rows in order of the key's digest
+    (rounded down) are for training (X6).  Rows of one key stay on one side."""
+    cut = _digest_cut(df, keys, F.floor(F.col("_total") * train_pct / 100))
+    inside = F.coalesce(key_digest(keys) < F.col("_cut"), F.lit(True))
+    return df.join(F.broadcast(cut)).withColumn("split", F.when(inside, "train").otherwise("test")).drop("_cut")
 
 
 def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
@@ -200,16 +228,17 @@ def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
 def rebalance(df: DataFrame, label: str, minority_share: float = 0.5, *, keys: Sequence[str]) -> DataFrame:
     """Thin the larger class until the smaller one has ``minority_share``.
 
-    The choice is by hash of the key, so it is the same in every run and task retry.
+    Of the larger class the first rows in order of the key's digest stay, exactly as many
+    as the share allows, so the choice is the same in every run and task retry.
     """
     counts = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(label) == 1).alias("pos")).first()
     small = min(counts["pos"], counts["n"] - counts["pos"])
-    big = counts["n"] - small
     minority = 1 if counts["pos"] == small else 0
-    want = small * (1 - minority_share) / minority_share
-    keep = 1.0 if big == 0 else min(1.0, want / big)
-    unit = F.pmod(F.xxhash64(*keys), F.lit(1_000_000)) / 1_000_000
-    return df.filter((F.col(label) == minority) | (unit < keep))
+    want = math.floor(small * (1 - minority_share) / minority_share + 1e-9)
+    larger = df.filter(F.coalesce(F.col(label) != minority, F.lit(True)))
+    cut = _digest_cut(larger, keys, F.lit(want))
+    inside = F.coalesce(key_digest(keys) < F.col("_cut"), F.lit(True))
+    return df.join(F.broadcast(cut)).filter(F.coalesce(F.col(label) == minority, F.lit(False)) | inside).drop("_cut")
 
 
 def tenure_features(

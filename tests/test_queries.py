@@ -7,7 +7,6 @@ from tests.oracle import compare, connect
 
 SF = "/root/testdata/sf0.001"
 SQL = driver.oracle_sql()
-SLOW = {"rf_train_score"}
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +22,7 @@ def test_matches_sql(spark, con, name):
     assert not extra and not missing, (extra[:3], missing[:3])
 
 
-@pytest.mark.parametrize("name", sorted(set(driver.queries()) - set(SQL) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(driver.queries()) - set(SQL)))
 def test_runs(spark, name):
     assert driver.queries()[name](spark, SF).count() > 0
 
