@@ -132,7 +132,7 @@ def q_rf_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     churn.score_job(
         fitted, table.filter(F.col("split") == "test"), target, lineage=LINEAGE, scored_at=SCORED_AT, batch_id="b1"
     )
-    return io.read_table(spark, target)
+    return io.read_batches(spark, target)
 
 
 def scored_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,13 +150,17 @@ SELECT c_custkey, (c_acctbal + 1000) / 11000 AS churn_score, 'churn' AS model_na
        CASE c_mktsegment WHEN 'BUILDING' THEN 'b1' ELSE 'b2' END AS score_batch_id FROM customer""",
 )
 def q_score_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two batches, the second one written twice: the repeat replaces itself."""
+    """Two batches, the second one written twice: the repeat replaces itself.  A third one is
+    written and then run again without rows, which removes it."""
     scored = scored_customers(spark, sf_dir)
     target = fresh_path(spark, "scores")
     segment = F.col("c_mktsegment") == "BUILDING"
     for rows, batch in ((scored.filter(segment), "b1"), (scored.filter(~segment), "b2"), (scored.filter(~segment), "b2")):
         io.upsert_batch(model.stamp(rows, scored_at=SCORED_AT, batch_id=batch, **LINEAGE), target)
-    return io.read_table(spark, target).withColumn("scored_at", F.col("scored_at").cast("timestamp_ntz"))
+    gone = model.stamp(scored, scored_at=SCORED_AT, batch_id="b3", **LINEAGE)
+    for rows in (gone, gone.limit(0)):
+        io.upsert_batch(rows, target, batches=["b3"])
+    return io.read_batches(spark, target).withColumn("scored_at", F.col("scored_at").cast("timestamp_ntz"))
 
 
 @query(
@@ -197,12 +201,29 @@ def q_incremental_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return io.read_increment(spark, target, since=dt.date(1999, 1, 31), until=dt.date(1999, 3, 31))
 
 
-@query("hash_split", "c_custkey bigint, split string")
+@query(
+    "hash_split",
+    "c_custkey bigint, split string",
+    sql="""
+SELECT c_custkey, CASE WHEN row_number() OVER (ORDER BY md5(CAST(c_custkey AS VARCHAR)))
+                            <= (SELECT count(*) FROM customer) * 80 // 100 THEN 'train' ELSE 'test' END AS split
+FROM customer""",
+)
 def q_hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.hash_split(Bank(spark, sf_dir).table("customer"), ["c_custkey"])
 
 
-@query("rebalance", "l_orderkey bigint, l_partkey bigint, label int")
+@query(
+    "rebalance",
+    "l_orderkey bigint, l_partkey bigint, l_linenumber int, label int",
+    sql="""
+WITH k AS (SELECT l_orderkey, l_partkey, l_linenumber, CASE WHEN l_tax = 0 THEN 1 ELSE 0 END AS label,
+                  md5(l_orderkey || '|' || l_partkey || '|' || l_linenumber) AS digest FROM lineitem),
+r AS (SELECT *, sum(n) OVER (ORDER BY digest) AS cum
+      FROM (SELECT digest, count(*) AS n FROM k WHERE label = 0 GROUP BY 1))
+SELECT l_orderkey, l_partkey, l_linenumber, label FROM k LEFT JOIN r USING (digest)
+WHERE label = 1 OR cum <= floor((SELECT count(*) FROM k WHERE label = 1) * 1.5)""",
+)
 def q_rebalance(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = Bank(spark, sf_dir).table("lineitem")
     labelled = rows.withColumn("label", F.when(F.col("l_tax") == 0, 1).otherwise(0))

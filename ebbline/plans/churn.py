@@ -193,12 +193,27 @@ def score_job(
 ) -> int:
     """Score, stamp and upsert one batch in a single write; returns the row count (ML8)."""
     scored = model.stamp(model.score(fitted, table), scored_at=scored_at, batch_id=batch_id, **lineage)
-    return io.upsert_batch(scored, target)
+    return io.upsert_batch(scored, target, batches=[batch_id])
+
+
+def baseline_job(table: DataFrame, target: str) -> int:
+    """Store mean and deviation of every numeric column (DR1); returns the row count."""
+    return io.overwrite(drift.baseline_stats(table, drift.split_columns(table)[0]), target)
 
 
 def drift_job(
-    spark: SparkSession, stats: DataFrame, scores: str, target: str, *, environment: str
+    spark: SparkSession,
+    baseline: str,
+    current: DataFrame,
+    target: str,
+    *,
+    environment: str,
+    run_id: str,
+    threshold: float = 3.0,
 ) -> int:
-    """Compare the scored table with the baseline statistics and append the rows (DR8)."""
-    rows = drift.zscore_drift(stats, io.read_table(spark, scores), environment=environment)
-    return io.append(rows, target)
+    """Compare a table with the stored baseline and keep the rows under ``run_id`` (DR8, IO10).
+
+    A run that is repeated replaces its own rows and no others.
+    """
+    rows = drift.zscore_drift(io.read_baseline(spark, baseline), current, environment=environment, threshold=threshold)
+    return io.upsert_batch(rows.withColumn("run_id", F.lit(run_id)), target, "run_id", batches=[run_id])

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from typing import Mapping
+import uuid
+from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -81,9 +82,8 @@ def exists(spark: SparkSession, target: str) -> bool:
         raise
 
 
-def _in_order(df: DataFrame, target: str) -> DataFrame:
+def _in_order(df: DataFrame, columns: list[str], target: str) -> DataFrame:
     """``df`` in the column order of an existing table; columns it lacks are an error."""
-    columns = read_table(df.sparkSession, target).columns
     extra = sorted(set(df.columns) - set(columns))
     if extra:
         raise ValueError(f"{target} has no columns {extra}")
@@ -113,34 +113,83 @@ def append(df: DataFrame, target: str) -> int:
     """
     spark = df.sparkSession
     if exists(spark, target):
-        df = _in_order(df, target)
+        df = _in_order(df, read_table(spark, target).columns, target)
     counted, seen = _counted(df)
     _save(counted.write.mode("append"), target)
     return seen.get["rows"]
 
 
-def upsert_batch(df: DataFrame, target: str, batch_col: str = "score_batch_id") -> int:
-    """Replace the rows of the batches in ``df`` and keep all others (IO7, IO8).
+def upsert_batch(df: DataFrame, target: str, batch_col: str = "score_batch_id", *, batches: Sequence[str] = ()) -> int:
+    """Replace the batches named in ``batches`` and those in ``df``, keep all others (IO7, IO8).
 
-    The table is partitioned by batch, so delete and insert are one dynamic partition
-    overwrite: a repeated or retried run leaves the same rows.
+    A batch that is named and has no rows is gone afterwards.  Under a path, rows are added
+    as a write of their own, and one small file appended to the log then says which write
+    holds each batch.  Readers (``read_batches``) see a write when its log file is there, so
+    never a part of it; a failed or repeated run leaves the rows of its last whole write.
+    A catalog table is partitioned by batch and overwritten by dynamic partitions.
     """
+    spark = df.sparkSession
+    if "/" not in target:
+        return _upsert_table(df, target, batch_col, batches)
+    data, log = f"{target}/data", f"{target}/log"
+    if exists(spark, log):
+        columns = [c for c in read_table(spark, data).columns if c != "write_id"]
+        df = _in_order(df, columns, target)
+        sequence = read_table(spark, log).agg(F.max("sequence")).first()[0] + 1
+    else:
+        if exists(spark, target):
+            raise ValueError(f"{target} holds another table")
+        # The columns of the table, also while it has no rows.
+        df.limit(0).write.mode("overwrite").parquet(f"{data}/write_id=none")
+        sequence = 0
+    write = f"w-{uuid.uuid4().hex}"
+    counted, seen = _counted(df)
+    counted.withColumn("write_id", F.lit(write)).write.mode("append").partitionBy("write_id").parquet(data)
+    rows = seen.get["rows"]
+    named = spark.createDataFrame([(b,) for b in batches], "batch string")
+    if rows:
+        named = named.unionByName(read_table(spark, f"{data}/write_id={write}").select(F.col(batch_col).cast("string").alias("batch")))
+    entry = named.distinct().withColumns({"write_id": F.lit(write), "sequence": F.lit(sequence).cast("long")})
+    entry.coalesce(1).write.mode("append").parquet(log)
+    return rows
+
+
+def read_batches(spark: SparkSession, target: str, batch_col: str = "score_batch_id") -> DataFrame:
+    """The rows of every batch as its last whole write left them.
+
+    The log is read now (one row per batch reaches the driver), so later writes do not
+    change what the result holds.
+    """
+    if "/" not in target:
+        return read_table(spark, target)
+    last = F.max_by("write_id", F.struct("sequence", "write_id")).alias("write_id")
+    live = read_table(spark, f"{target}/log").groupBy("batch").agg(last).collect()
+    held = spark.createDataFrame([(r.batch, r.write_id) for r in live], "_batch string, _write string")
+    rows = read_table(spark, f"{target}/data")
+    # The first condition prunes folders.
+    on = (F.col("write_id") == F.col("_write")) & F.col(batch_col).cast("string").eqNullSafe(F.col("_batch"))
+    return rows.filter(F.col("write_id").isin(sorted({r.write_id for r in live}))).join(held, on, "left_semi").drop("write_id")
+
+
+def _upsert_table(df: DataFrame, target: str, batch_col: str, batches: Sequence[str]) -> int:
     spark = df.sparkSession
     if not exists(spark, target):
         return overwrite(df, target, (batch_col,))
     # insertInto writes by position, so the order of the target is the contract.
-    counted, seen = _counted(_in_order(df, target))
-    writer = counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    if "/" in target:
-        writer.partitionBy(batch_col).parquet(target)
-    else:
-        # Table inserts take the mode from the session.
-        before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            counted.write.insertInto(target, overwrite=True)
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    seen = Observation()
+    named = [F.count_if(F.col(batch_col).cast("string") == b).alias(f"batch{i}") for i, b in enumerate(batches)]
+    counted = _in_order(df, read_table(spark, target).columns, target).observe(seen, F.count(F.lit(1)).alias("rows"), *named)
+    # Table inserts take the mode from the session.
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        counted.write.insertInto(target, overwrite=True)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    for i, b in enumerate(batches):
+        if seen.get[f"batch{i}"] == 0:
+            value = b.replace("\\", "\\\\").replace("'", "\\'")
+            spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({batch_col} = '{value}')")
     return seen.get["rows"]
 
 
