@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from ebbline.catalogue.bank import Bank
 from ebbline.catalogue.registry import query
 from ebbline.operators import drift, quality
+from ebbline.plans import churn
 from ebbline.session import shared_dir
 from ebbline.sources import io
 
@@ -132,21 +133,37 @@ def q_dq_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.withColumnsRenamed({"check": "check_name", "column": "column_name"})
 
 
+_TYPES = "CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' ELSE 'timestamp_ntz' END"
+_COUNTS = " UNION ALL ".join(f"SELECT '{c}' AS c, count({c}) AS n FROM g" for c in LINE_COLUMNS)
+
+
 @query(
     "dq_schema",
-    "column_name string, expected string, actual string, valid boolean, non_null bigint",
+    "column_name string, expected string, actual string, change string, valid boolean, non_null bigint",
+    ctes=_GAPS
+    + f""",
+actual AS (SELECT column_name AS c, {_TYPES} AS t FROM (DESCRIBE lineitem)),
+wanted AS (SELECT c, CASE c WHEN 'l_orderkey' THEN 'int' WHEN 'l_linenumber' THEN 'bigint' WHEN 'l_shipdate' THEN 'date'
+                     WHEN 'l_quantity' THEN 'decimal(15,2)' ELSE t END AS t FROM actual WHERE c <> 'l_tax'
+           UNION ALL SELECT 'l_shipmode', 'string'),
+told AS (SELECT coalesce(w.c, a.c) AS c, w.t AS e, a.t AS a,
+                CASE WHEN w.c IS NULL THEN 'added' WHEN a.c IS NULL THEN 'missing' WHEN w.t = a.t THEN 'same'
+                     WHEN w.c IN ('l_orderkey', 'l_shipdate') THEN 'widened' ELSE 'changed' END AS change
+         FROM wanted w FULL JOIN actual a ON w.c = a.c),
+filled AS ({_COUNTS})""",
+    sql="""SELECT told.c AS column_name, e AS expected, a AS actual, change, change NOT IN ('changed', 'missing') AS valid,
+                  n AS non_null FROM told LEFT JOIN filled ON filled.c = told.c""",
 )
 def q_dq_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = lines(spark, sf_dir)
-    expected = T.StructType(
-        [
-            T.StructField("l_orderkey", T.LongType()),
-            T.StructField("l_quantity", T.DecimalType(15, 2)),
-            T.StructField("l_shipmode", T.StringType()),
-        ]
-    )
-    report = quality.check_schema(df, expected).withColumnRenamed("column", "column_name")
-    filled = df.agg(*[F.count(c).alias(c) for c in df.columns if c in expected.names])
+    """The lines against a stored contract of an earlier delivery."""
+    df = _gaps(lines(spark, sf_dir))
+    older = {"l_orderkey": T.IntegerType(), "l_linenumber": T.LongType(), "l_shipdate": T.DateType(), "l_quantity": T.DecimalType(15, 2)}
+    fields = [T.StructField(f.name, older.get(f.name, f.dataType)) for f in df.schema if f.name != "l_tax"]
+    earlier = spark.createDataFrame([], T.StructType([*fields, T.StructField("l_shipmode", T.StringType())]))
+    stored = fresh_path(spark, "contract")
+    io.overwrite(quality.schema_contract(earlier), stored)
+    report = quality.check_schema(df, io.read_table(spark, stored)).withColumnRenamed("column", "column_name")
+    filled = df.agg(*[F.count(c).alias(c) for c in df.columns])
     counts = filled.select(
         F.explode(F.map_from_arrays(F.array(*[F.lit(c) for c in filled.columns]), F.array(*filled.columns))).alias(
             "column_name", "non_null"
@@ -348,6 +365,22 @@ def q_metric_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return io.read_table(spark, target)
 
 
+@query(
+    "drift_job",
+    "run_id string, feature string, z_score double, drifted boolean, environment string",
+    ctes=_SIDES,
+    sql=f"SELECT r AS run_id, z.* FROM ({_Z}) z, (VALUES ('r1'), ('r2')) t(r)",
+)
+def q_drift_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored baseline and two runs, the first of which is repeated and replaces itself."""
+    base, cur = sides(spark, sf_dir)
+    stats, target = fresh_path(spark, "baseline"), fresh_path(spark, "drift_runs")
+    churn.baseline_job(base.select(*FEATURES), stats)
+    for run in ("r1", "r2", "r1"):
+        churn.drift_job(spark, stats, cur.select(*FEATURES), target, environment="dev", run_id=run, threshold=1.5)
+    return io.read_batches(spark, target, "run_id")
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     import uuid
 

@@ -171,15 +171,62 @@ def _long(report: DataFrame, check: str, metrics: Sequence[str]) -> DataFrame:
     ).select("check", "column", "_e.metric", "_e.value", "valid")
 
 
-def check_schema(df: DataFrame, expected: T.StructType) -> DataFrame:
-    """column, expected, actual, valid: type changes and missing columns."""
+def schema_contract(df: DataFrame) -> DataFrame:
+    """position, column, type: what a later delivery of the table has to have.
+
+    One row per column; written to a table, it is the contract that ``check_schema`` reads.
+    """
+    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema)]
+    return df.sparkSession.createDataFrame(rows, "position int, `column` string, type string")
+
+
+_WHOLE = ["tinyint", "smallint", "int", "bigint"]
+_DIGITS = dict(zip(_WHOLE, (3, 5, 10, 19)))
+
+
+def widens(old: str, new: str) -> bool:
+    """Whether every value of the old type is a value of the new one."""
+
+    def decimal(kind: str) -> tuple[int, int] | None:
+        """(digits before the point, digits after it)"""
+        if kind in _DIGITS:
+            return _DIGITS[kind], 0
+        if kind.startswith("decimal("):
+            digits, scale = map(int, kind[8:-1].split(","))
+            return digits - scale, scale
+        return None
+
+    if old in _WHOLE and new in _WHOLE:
+        return _WHOLE.index(old) <= _WHOLE.index(new)
+    a, b = decimal(old), decimal(new)
+    if a and b and new.startswith("decimal("):
+        return a[0] <= b[0] and a[1] <= b[1]
+    exact = {"float": ("double",), "date": ("timestamp", "timestamp_ntz")}
+    exact |= {k: ("float", "double") for k in ("tinyint", "smallint")} | {"int": ("double",)}
+    return new in exact.get(old, ())
+
+
+def check_schema(df: DataFrame, contract: DataFrame) -> DataFrame:
+    """column, expected, actual, change, valid for every column of either side.
+
+    ``contract`` is a stored ``schema_contract``.  A column is the same, widened, changed,
+    missing or added; a changed or missing one breaks the contract.
+    """
+    expected = {r["column"]: r["type"] for r in contract.orderBy("position").select("column", "type").collect()}
     actual = {f.name: f.dataType.simpleString() for f in df.schema}
-    rows = [
-        (f.name, f.dataType.simpleString(), actual.get(f.name), actual.get(f.name) == f.dataType.simpleString())
-        for f in expected
-    ]
+
+    def change(name: str) -> str:
+        old, new = expected.get(name), actual.get(name)
+        if old is None or new is None:
+            return "added" if old is None else "missing"
+        return "same" if old == new else "widened" if widens(old, new) else "changed"
+
+    rows = []
+    for name in dict.fromkeys([*expected, *actual]):
+        what = change(name)
+        rows.append((name, expected.get(name), actual.get(name), what, what in ("same", "widened", "added")))
     return df.sparkSession.createDataFrame(
-        rows, "`column` string, expected string, actual string, valid boolean"
+        rows, "`column` string, expected string, actual string, change string, valid boolean"
     )
 
 

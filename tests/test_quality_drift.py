@@ -49,10 +49,16 @@ def test_overall_verdict(spark):
 
 
 def test_schema_volume_and_required_columns(spark):
-    df = spark.createDataFrame([("30", 1)], "age string, id int")
-    expected = T.StructType([T.StructField("age", T.LongType()), T.StructField("id", T.IntegerType())])
-    got = {r["column"]: r.valid for r in quality.check_schema(df, expected).collect()}
-    assert got == {"age": False, "id": True}
+    df = spark.createDataFrame([("30", 1, 2.0, 5)], "age string, id int, rate double, extra int")
+    contract = quality.schema_contract(spark.createDataFrame([], "age bigint, id int, rate float, gone string"))
+    got = {r["column"]: (r.change, r.valid) for r in quality.check_schema(df, contract).collect()}
+    assert got == {
+        "age": ("changed", False),
+        "id": ("same", True),
+        "rate": ("widened", True),
+        "gone": ("missing", False),
+        "extra": ("added", True),
+    }
     assert quality.missing_columns(df, ["id", "x"]) == ["x"]
     assert not quality.check_volume(spark.range(70), 100).first().valid
     assert quality.check_volume(spark.range(80), 100).first().valid
@@ -220,6 +226,19 @@ def test_ks_psi_property(spark, a, b):
     assert r.psi == pytest.approx(psi_brute(np.array(a, float), np.array(b, float)), abs=1e-9)
 
 
+@pytest.mark.parametrize(
+    "old,new,wider",
+    [
+        ("int", "bigint", True), ("bigint", "int", False), ("int", "decimal(12,2)", True), ("int", "decimal(11,2)", False),
+        ("decimal(10,2)", "decimal(12,4)", True), ("decimal(10,2)", "decimal(11,4)", False), ("float", "double", True),
+        ("double", "float", False), ("bigint", "double", False), ("int", "double", True), ("date", "timestamp", True),
+        ("timestamp", "date", False), ("string", "int", False), ("decimal(10,2)", "double", False),
+    ],
+)
+def test_widening(old, new, wider):
+    assert quality.widens(old, new) is wider
+
+
 def test_missing_current_columns_are_skipped(spark):
     base = spark.range(10).withColumn("x", F.lit("a"))
     assert {r.feature for r in drift.detect_drift(base, spark.range(10)).collect()} == {"id"}
