@@ -137,17 +137,21 @@ def hits(docs: DataFrame, items: DataFrame, *, text_col: str = "text", item_col:
         .join(texts, "key")
         .dropDuplicates(["key"])
     )
-    compared = placed.select("key", plain_words(F.col("text")).alias("words"), "found").withColumn(
-        "found",
-        F.transform(
+
+    def against(words: Column) -> Column:
+        """One struct of the words and the items with ranges, none without any."""
+        ranged = F.transform(
             "found",
             lambda f: F.struct(
                 f["item"]["item_id"].alias("item_id"),
-                let(plain_words(f["item"]["text"]), lambda item: _runs(F.col("words"), item, f["offset"])).alias("ranges"),
+                let(plain_words(f["item"]["text"]), lambda item: _runs(words, item, f["offset"])).alias("ranges"),
             ),
-        ),
-    )
-    compared = compared.withColumn("found", F.filter("found", lambda f: F.size(f["ranges"]) > 0)).filter(F.size("found") > 0)
+        )
+        hit = F.struct(words.alias("words"), F.filter(ranged, lambda f: F.size(f["ranges"]) > 0).alias("found"))
+        return F.filter(F.array(hit), lambda h: F.size(h["found"]) > 0)
+
+    # A generator takes its input once; a filter would be pushed below it and take it again.
+    compared = placed.select("key", F.inline(let(plain_words(F.col("text")), against)))
     at = F.flatten(F.transform("ranges", lambda r: F.sequence(r["b"], r["e"] - 1)))
     return (
         compared.withColumn("ranges", F.array_sort(F.array_distinct(F.flatten("found.ranges"))))

@@ -87,3 +87,11 @@ def test_no_python_in_the_plan(spark, edge):
 def test_capital_sigma_before_other_punctuation(spark):
     names = ["ΟΔΟΣ", "ΛΟΓΟΣ", "ΝΟΜΟΣ", "ΤΟΠΟΣ", "ΧΡΟΝΟΣ", "ΚΟΣΜΟΣ"] * 2
     check(spark, [(1, "a b " + ".".join(names) + ".c"), (2, " ".join(names))], [(7, " ".join(names)), (8, ".".join(names[:4]))])
+
+
+def test_a_text_is_split_once_for_all_its_candidates(spark, sample):
+    """In the plan of the comparison the text's words are one pattern match, outside the loops."""
+    items = spark.createDataFrame([("a", "one two three four five six seven eight nine ten")], "item_id string, text string")
+    plan = decontaminate.hits(sample, items)._jdf.queryExecution().optimizedPlan().toString()
+    compare = next(line for line in plan.splitlines() if "Generate inline" in line)
+    assert compare.count("regexp_extract_all") == 2  # the text's words and the item's
