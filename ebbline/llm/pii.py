@@ -253,7 +253,7 @@ def probability(model: Model, text: Column, s: Column) -> Column:
 def find(model: Model, text: Column, *, accept: float = ACCEPT) -> Column:
     """Array of (kind, b, e, txt, base): base spans, then accepted ones, sorted by KINDS and start."""
     kept = F.filter(candidates(text), lambda s: s["base"] | (probability(model, text, s) >= accept))
-    return F.concat(*[F.array_sort(of_kind(kept, k)) for k in KINDS])
+    return let(kept, lambda spans: F.concat(*[F.array_sort(of_kind(spans, k)) for k in KINDS]))
 
 
 def of_kind(spans: Column, kind: str) -> Column:

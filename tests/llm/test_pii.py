@@ -112,3 +112,10 @@ def test_masking(spark):
 def test_no_python_in_the_plan(edge):
     plan = pii.personal_data(edge)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_patterns_run_once_per_text(spark, sample):
+    """Four strict and four loose patterns, each once."""
+    model = pii.fit(sample)
+    plan = sample.select(pii.find(model, F.col("text")).alias("s"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 8

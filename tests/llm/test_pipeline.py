@@ -38,7 +38,7 @@ def test_whole_run(spark, sample):
 def sf(tmp_path_factory, spark):
     folder = tmp_path_factory.mktemp("sf")
     spark.createDataFrame([(5, 1), (11, 0), (8, 1)], "doc_id long, quality int").write.parquet(f"{folder}/labels.parquet")
-    spark.createDataFrame([(1, "naïve café ünïcode words")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    spark.createDataFrame([(1, "naïve café — ünïcode\u00a0words")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     return str(folder)
 
 
