@@ -24,6 +24,7 @@ import hashlib
 import heapq
 import uuid
 from collections.abc import Callable, Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -35,11 +36,12 @@ from pyspark.sql import functions as F
 from ebbline.llm.words import Rolling, Texts, ragged, slices
 from ebbline.session import shared_dir
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 6 << 20
 RADIX_BITS = 6
 RADIXES = 1 << RADIX_BITS
 FRAME = 1 << 16
 FAN_IN = 64
+ENCODE_BLOCK = 1 << 15
 _LOW = np.uint64(0xFFFFFFFF)
 _SIDE = np.uint64(32)
 
@@ -224,9 +226,17 @@ def _ends(ids: np.ndarray, vocabulary: Codes) -> np.ndarray:
     return np.cumsum(vocabulary.start[ids + 1] - vocabulary.start[ids])
 
 
-def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    count = np.fromiter((len(x) for x in lists), np.int64, len(lists))
-    return np.fromiter((i for x in lists for i in x), np.int64, int(count.sum())), count
+def _encoded(codes: Codes, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts, one after the other, and how many each has.
+
+    Blocks bound what the libraries hand over as Python objects.
+    """
+    ids, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    for i in range(0, len(texts), ENCODE_BLOCK):
+        lists = codes.encode(texts[i : i + ENCODE_BLOCK])
+        counts.append(np.fromiter(map(len, lists), np.int64, len(lists)))
+        ids.append(np.fromiter(chain.from_iterable(lists), np.int32, int(counts[-1].sum())))
+    return np.concatenate(ids).astype(np.int64), np.concatenate(counts)
 
 
 def _bytes_equal(ids: np.ndarray, count: np.ndarray, codes: Codes, raw: np.ndarray, edges: np.ndarray) -> np.ndarray:
@@ -263,8 +273,9 @@ def align(parts: list[bytes], a: Codes, b: Codes) -> Aligned:
     """Tokens, groups and linked pairs of chunks, each of which begins with a space."""
     texts = [p.decode("utf-8") for p in parts]
     raw, edges = _vocabulary(parts)
-    ids_a, count_a = _flat(a.encode(texts))
-    ids_b, count_b = _flat(b.encode(texts))
+    ids_a, count_a = _encoded(a, texts)
+    ids_b, count_b = _encoded(b, texts)
+    del texts
     good = _bytes_equal(ids_a, count_a, a, raw, edges) & _bytes_equal(ids_b, count_b, b, raw, edges)
     if not good.all():
         # Only chunks that both give back have offsets; the others are left without tokens.
@@ -306,19 +317,25 @@ def _times(group: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def _told(ids_a: np.ndarray, ids_b: np.ndarray, in_a: np.ndarray, in_b: np.ndarray, n_groups: np.ndarray) -> list[str]:
-    """``a1,a2|b1;a3|b2`` of each chunk."""
-    a, b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
-    groups, i, j = [], 0, 0
-    for x, y in zip(in_a.tolist(), in_b.tolist()):
-        if x == 1 and y == 1:
-            groups.append(f"{a[i]}|{b[j]}")
-        else:
-            groups.append(f"{','.join(a[i : i + x])}|{','.join(b[j : j + y])}")
-        i, j = i + x, j + y
-    out, at = [], 0
-    for n in n_groups.tolist():
-        out.append(groups[at] if n == 1 else ";".join(groups[at : at + n]))
-        at += n
+    """``a1,a2|b1;a3|b2`` of each chunk, from a block of chunks at a time."""
+    out: list[str] = []
+    group = np.concatenate(([0], np.cumsum(n_groups)))
+    at_a, at_b = np.concatenate(([0], np.cumsum(in_a))), np.concatenate(([0], np.cumsum(in_b)))
+    for first in range(0, len(n_groups), ENCODE_BLOCK):
+        last = min(first + ENCODE_BLOCK, len(n_groups))
+        g, h = int(group[first]), int(group[last])
+        a, b = list(map(str, ids_a[at_a[g] : at_a[h]].tolist())), list(map(str, ids_b[at_b[g] : at_b[h]].tolist()))
+        groups, i, j = [], 0, 0
+        for x, y in zip(in_a[g:h].tolist(), in_b[g:h].tolist()):
+            if x == 1 and y == 1:
+                groups.append(f"{a[i]}|{b[j]}")
+            else:
+                groups.append(f"{','.join(a[i : i + x])}|{','.join(b[j : j + y])}")
+            i, j = i + x, j + y
+        at = 0
+        for n in n_groups[first:last].tolist():
+            out.append(groups[at] if n == 1 else ";".join(groups[at : at + n]))
+            at += n
     return out
 
 
