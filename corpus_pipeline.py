@@ -60,8 +60,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     codec = byte_codec()
     text = F.coalesce(F.col("text"), F.lit(""))
     texts = docs.select(*COLUMNS).withColumn("text", text)
-    encoded = texts.withColumn("ids", codec.encode(F.col("text"), codec.kept(texts)))
-    return encoded.select(
+    return codec.encoded(texts, "text", "ids").select(
         "doc_id",
         "lang",
         "source",

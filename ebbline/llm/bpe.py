@@ -1,13 +1,11 @@
 """Byte-level BPE encoding and decoding with Spark expressions (operator 1).
 
-A word's byte array is held as a string with one character per piece: the character of
-rank r has code point ``FIRST + r``.  The ranks are one literal, an array of small maps
-from two neighbouring pieces to the piece they merge to, followed by the pair, addressed by
-a hash of the pair.
-``fold`` folds ranked merges over a word: each step merges the pair of the lowest rank
-wherever it stands, from left to right.  Words that are frequent in the corpus are folded
-once, and their ids are a second literal of at most ``KEPT_WORDS`` words; every other word
-is folded where it stands.  Nothing but the word counts is shuffled.
+Texts are split into words where they stand.  Each task then gathers slices of at most
+``SLICE_WORDS`` words (one longer text is a slice of its own) and writes a slice as its
+distinct words and, per row, their positions.  ``fold`` folds ranked merges over the byte
+array of each distinct word: each step merges the pair of the lowest rank.  The ranks are
+one literal, the only one that encoding has, whose size is that of the vocabulary.  The ids
+of a text are those of its words.  Nothing is shuffled, counted or collected.
 
 Decoding looks up each id's bytes in a literal and concatenates them; a byte is there the
 Latin-1 character of its value.
@@ -17,19 +15,25 @@ from __future__ import annotations
 
 import base64
 import json
+from collections.abc import Callable, Iterator
 
-import xxhash
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from ebbline.session import freeze
-
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+SLICE_WORDS = 1 << 23
+# Bits of a piece, and of a place in a word.  Words of more than NEAR_BYTES bytes are held as
+# strings, the piece of rank r being the code point FIRST + r.
+BITS = 18
+PLACE = 6
+NONE = 1 << BITS
+EMPTY = 1 << 3 * BITS
+NEAR_BYTES = (1 << PLACE) - 2
 FIRST = 0x20000
-BUCKETS = 1 << 14
-# Bounds of the second literal; it only saves folding, results do not depend on it.
-KEPT_WORDS = 1 << 17
-KEPT_BYTES = 48
-SLOTS = 1 << 18
+MOST = NONE - 1
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -49,22 +53,34 @@ def _last_merge(token: bytes, ranks: dict[bytes, int]) -> tuple[bytes, bytes] |
     return p[0], p[1]
 
 
-def _slot(text: str, size: int) -> int:
-    """The low bits of xxhash64(text) as Spark computes it; ``size`` is a power of two."""
-    return xxhash.xxh64_intdigest(text.encode(), 42) & (size - 1)
-
-
-def _slot_column(text: Column, size: int) -> Column:
-    return F.xxhash64(text).bitwiseAND(F.lit(size - 1))
+def _prime(n: int) -> int:
+    """The smallest prime of at least ``n``."""
+    while any(n % k == 0 for k in range(2, int(n**0.5) + 1)):
+        n += 1
+    return n
 
 
-def _slots(text: str, size: int) -> tuple[int, int]:
-    h = xxhash.xxh64_intdigest(text.encode(), 42)
-    return h & (size - 1), (h >> 32) & (size - 1)
+def _rank_map(merges: dict[int, int]) -> tuple[list[int], int, int]:
+    """Entries ``pair << BITS | merged``, each at one of two places: its pair modulo two primes.
 
-
-def _second_slot(text: Column, size: int) -> Column:
-    return F.shiftrightunsigned(F.xxhash64(text), 32).bitwiseAND(F.lit(size - 1))
+    An entry without a place takes another's, which then moves to its other place.
+    """
+    first = _prime(5 * len(merges) // 2 + 2)
+    while True:
+        second = _prime(first + 1)
+        table = [EMPTY] * second
+        for pair in merges:
+            entry, at = pair << BITS | merges[pair], pair % first
+            for _ in range(500):
+                table[at], entry = entry, table[at]
+                if entry == EMPTY:
+                    break
+                at = (entry >> BITS) % (second if at == (entry >> BITS) % first else first)
+            else:
+                break
+        else:
+            return table, first, second
+        first = _prime(2 * first)
 
 
 def let(value: Column, then) -> Column:
@@ -72,125 +88,178 @@ def let(value: Column, then) -> Column:
     return F.get(F.transform(F.array(value), then), 0)
 
 
+def _slices(columns: list[str], most: int, fields: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """From rows with a list ``_words`` to slices (words, rows with the list ``_at``)."""
+
+    def told(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(batches).combine_chunks()
+        lists = table["_words"].combine_chunks()
+        coded = pc.dictionary_encode(lists.flatten())
+        at = pa.ListArray.from_arrays(pc.subtract(lists.offsets, lists.offsets[0]), coded.indices)
+        kept = [table[c].combine_chunks() for c in columns]
+        rows = pa.StructArray.from_arrays([*kept, at], [*columns, "_at"])
+        one = [pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a) for a in (coded.dictionary, rows)]
+        return pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(one, fields)], schema=fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            sizes = pc.list_value_length(batch["_words"]).to_pylist()
+            start = 0
+            for i, n in enumerate(sizes):
+                # An empty text counts as a word, so that rows are bounded too.
+                if size and size + n + 1 > most:
+                    yield told([*held, batch.slice(start, i - start)])
+                    held, size, start = [], 0, i
+                size += n + 1
+            if start < len(sizes):
+                held.append(batch.slice(start))
+        if held:
+            yield told(held)
+
+    return run
+
+
 class Codec:
     """Literals of one vocabulary; ``pattern`` splits texts into words.
 
     Java's regex engine reads the pattern, with Unicode classes.  A vocabulary has all 256
     bytes, and each longer token is the merge of two tokens of lower rank, as training by
-    pair counts gives it; anything else is refused.  A merge then never makes a pair of
-    lower rank than its own, so that all pairs of one rank can be merged in one step.
+    pair counts gives it; anything else is refused, as are more than ``MOST`` tokens.  A
+    merge then never makes a pair of lower rank than its own, so that all pairs of one rank
+    can be merged in one step.
     """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        char = {token: chr(FIRST + rank) for token, rank in ranks.items()}
-        buckets: list[dict[str, str]] = [{} for _ in range(BUCKETS)]
         self.size = len(ranks)
-        if sorted(ranks.values()) != list(range(self.size)):
-            raise ValueError("ranks are not 0, 1, 2, ...")
+        if sorted(ranks.values()) != list(range(self.size)) or self.size > MOST:
+            raise ValueError(f"ranks are not 0, 1, 2, ... below {MOST}")
         pieces = [""] * self.size
+        merges = {}
         for token, rank in ranks.items():
             pieces[rank] = token.decode("latin-1")
             if len(token) > 1:
                 pair = _last_merge(token, ranks)
                 if pair is None:
                     raise ValueError(f"no two tokens of lower rank merge to {token!r}")
-                key = char[pair[0]] + char[pair[1]]
-                buckets[_slot(key, BUCKETS)][key] = char[token] + key
+                merges[ranks[pair[0]] << BITS | ranks[pair[1]]] = rank
         self.pattern = f"(?U){pattern}"
-        self.merges = F.from_json(F.lit(json.dumps(buckets, ensure_ascii=False)), "array<map<string,string>>")
+        table, self.first, self.second = _rank_map(merges)
+        self.merges = F.from_json(F.lit(json.dumps(table)), "array<bigint>")
         self.pieces = F.from_json(F.lit(json.dumps(pieces)), "array<string>")
-        self.bytes = "".join(map(chr, range(256)))
-        self.chars = "".join(char[bytes([b])] for b in range(256))
+        self.bytes = F.from_json(F.lit(json.dumps([ranks[bytes([b])] for b in range(256)])), "array<bigint>")
 
     def words(self, text: Column) -> Column:
         return F.regexp_extract_all(text, F.lit(self.pattern), F.lit(0))
 
-    def fold(self, word: Column, merges: Column) -> Column:
-        """Decimal ids of a word, joined by spaces.
+    def _merged(self, pair: Column, merges: Column) -> Column:
+        """The piece that two pieces ``a << BITS | b`` merge to, NONE if they do not.
 
-        State: the pieces and whether a pair can still merge; at most as many steps as the
-        word has pairs, of which those after the last merge only hand the state on.
+        The entry of this pair leaves the merged piece when the pair is taken off by
+        exclusive or; any other entry leaves more.
         """
+        left = [F.get(merges, pair % p).bitwiseXOR(F.shiftleft(pair, BITS)) for p in (self.first, self.second)]
+        return F.least(*left, F.lit(NONE).cast("bigint"))
 
-        def merged(pair: Column) -> Column:
-            return F.try_element_at(F.get(merges, _slot_column(pair, BUCKETS)), pair)
+    def _fold_near(self, start: Column, merges: Column) -> Column:
+        """State: a number for each piece, of what it and the next merge to, itself, and zero bits.
 
-        def replace(s: Column, low: Column) -> Column:
-            to, pair = F.substr(low, F.lit(1), F.lit(1)), F.substr(low, F.lit(2), F.lit(2))
-            return F.struct(F.replace(s, pair, to).alias("s"), F.lit(True).alias("more"))
+        With its place in the zero bits the least number tells where it stands.  A step merges
+        the first pair of the lowest rank; only its neighbours change.  An end of the word is
+        a piece too; the first becomes -1 when nothing is left to merge.
+        """
+        end = F.lit((NONE << BITS | self.size) << PLACE)
 
-        def pairs(s: Column) -> Column:
-            # Taking substrings is fastest for words as they are; it walks the word anew
-            # for each pair, which very long ones are spared.
-            near = F.transform(F.sequence(F.lit(1), F.length(s) - 1), lambda i: merged(F.substr(s, i, F.lit(2))))
-            far = let(F.split(s, ""), lambda p: F.zip_with(p, F.slice(p, F.lit(2), F.size(p)), lambda a, b: merged(F.concat(a, b))))
-            return F.when(F.length(s) < 2, F.array().cast("array<string>")).when(F.length(s) <= 64, near).otherwise(far)
+        def piece(e: Column) -> Column:
+            return F.shiftright(e, PLACE).bitwiseAND(F.lit(NONE - 1))
 
-        def step(state: Column, _: Column) -> Column:
-            s = state["s"]
-            stop = F.struct(s.alias("s"), F.lit(False).alias("more"))
-            # The merged piece comes first in an entry, so the least entry has the lowest rank.
-            merge = let(F.array_min(pairs(s)), lambda low: F.when(low.isNull(), stop).otherwise(replace(s, low)))
-            return F.when(state["more"], merge).otherwise(state)
+        def numbers(a: Column, b: Column) -> Column:
+            pairs = F.zip_with(a, b, lambda a, b: F.shiftleft(a, BITS).bitwiseOR(b))
+            return F.transform(
+                pairs, lambda p: F.shiftleft(F.shiftleft(self._merged(p, merges), BITS).bitwiseOR(F.shiftright(p, BITS)), PLACE)
+            )
 
-        def ids(state: Column) -> Column:
-            return F.array_join(F.transform(F.split(state["s"], ""), lambda c: (F.ascii(c) - FIRST).cast("string")), " ")
+        def rest(s: Column, n: Column) -> Column:
+            return F.slice(s, n, F.size(s))
 
-        start = F.translate(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), self.bytes, self.chars)
-        steps = F.sequence(F.lit(1), F.greatest(F.octet_length(word) - 1, F.lit(1)))
-        return F.aggregate(steps, F.struct(start.alias("s"), F.lit(True).alias("more")), step, ids)
+        def merge(s: Column, low: Column) -> Column:
+            def at(i: Column) -> Column:
+                to = F.shiftright(low, BITS + PLACE)
+                new = numbers(F.array(piece(F.get(s, i - 1)), to), F.array(to, piece(F.get(s, i + 2))))
+                return F.flatten(F.array(F.slice(s, F.lit(1), i - 1), new, rest(s, i + 3)))
 
-    def kept(self, texts: DataFrame) -> Column:
-        """The second literal: ids of the words that are most frequent over all texts.
+            place = low.bitwiseAND(F.lit((1 << PLACE) - 1)).cast("int")
+            done = F.flatten(F.array(F.array(F.lit(-1).cast("bigint")), rest(s, F.lit(2))))
+            return F.when(low < F.lit(NONE << BITS + PLACE), let(place, at)).otherwise(done)
 
-        All words are counted; those of at least the count that leaves at most KEPT_WORDS
-        are folded on the executors and come to the driver as one string, the most frequent
-        first.  A word has two slots; where both are taken it is not kept.
+        def step(s: Column, _: Column) -> Column:
+            least = F.array_min(F.transform(s, lambda e, i: e.bitwiseOR(i.cast("bigint"))))
+            return F.when(F.get(s, F.lit(0)) < 0, s).otherwise(let(least, lambda low: merge(s, low)))
+
+        def ids(s: Column) -> Column:
+            return F.transform(F.slice(s, F.lit(2), F.size(s) - 2), lambda e: piece(e).cast("int"))
+
+        edge = F.array(F.lit(self.size).cast("bigint"))
+        pairs = numbers(F.concat(edge, start), F.concat(start, edge))
+        return F.aggregate(F.sequence(F.lit(1), F.size(start)), F.concat(pairs, F.array(end)), step, ids)
+
+    def _fold_far(self, start: Column, merges: Column) -> Column:
+        """State: the pieces as characters and whether a pair can still merge.
+
+        A step merges the pair of the lowest rank wherever it stands, from left to right.
         """
-        often = freeze(
-            texts.select(F.explode(self.words(F.col("text"))).alias("word"))
-            .groupBy("word")
-            .count()
-            .filter((F.col("count") > 1) & (F.octet_length("word") <= KEPT_BYTES) & ~F.rlike("word", F.lit("[\0\1]")))
-        )
-        # One row per different count; the counts below KEPT_WORDS ranks are few.
-        ranks = often.groupBy("count").agg(F.count(F.lit(1)).alias("words"))
-        above = Window.orderBy(F.desc("count"))
-        least = (
-            ranks.withColumn("upto", F.sum("words").over(above)).filter(F.col("upto") <= KEPT_WORDS).agg(F.min("count")).first()[0]
-        )
-        entry = F.concat("word", F.lit("\0"), let(self.merges, lambda m: self.fold(F.col("word"), m)))
-        told = (
-            often.filter(F.col("count") >= F.lit(least))
-            .select(F.struct(-F.col("count"), entry.alias("entry")).alias("e"))
-            .agg(F.array_join(F.array_sort(F.collect_list("e")).getField("entry"), "\1"))
-            .first()[0]
-        )
-        slots = [""] * SLOTS
-        for one in told.split("\1") if told else ():
-            for at in _slots(one[: one.index("\0")], SLOTS):
-                if not slots[at]:
-                    slots[at] = one
-                    break
-        return F.split(F.lit("\1".join(slots)), "\1")
 
-    def encode(self, text: Column, kept: Column) -> Column:
-        """Ids of a text as an array of integers."""
+        def char(piece: Column) -> Column:
+            return F.decode(F.unhex(F.lpad(F.hex(piece + FIRST), 8, "0")), "UTF-32")
 
-        def word_ids(word: Column, merges: Column, kept: Column) -> Column:
-            key = F.concat(word, F.lit("\0"))
-            ids = lambda entry: F.substr(entry, F.length(word) + 2)
-            second = let(
-                F.get(kept, _second_slot(word, SLOTS)),
-                lambda entry: F.when(F.startswith(entry, key), ids(entry)).otherwise(self.fold(word, merges)),
-            )
-            return let(F.get(kept, _slot_column(word, SLOTS)), lambda entry: F.when(F.startswith(entry, key), ids(entry)).otherwise(second))
+        def piece(c: Column) -> Column:
+            return (F.ascii(c) - FIRST).cast("bigint")
+
+        def pair(a: Column, b: Column) -> Column:
+            merged = self._merged(F.shiftleft(piece(a), BITS).bitwiseOR(piece(b)), merges)
+            return let(merged, lambda m: F.when(m < NONE, F.struct(m.alias("to"), F.concat(a, b).alias("pair"))))
 
-        def joined(words: Column) -> Column:
-            told = let(self.merges, lambda m: let(kept, lambda k: F.array_join(F.transform(words, lambda w: word_ids(w, m, k)), " ")))
-            return F.when(F.size(words) > 0, F.split(told, " ").cast("array<int>")).otherwise(F.array().cast("array<int>"))
+        def step(state: Column, _: Column) -> Column:
+            s = state["s"]
+            stop = F.struct(s.alias("s"), F.lit(False).alias("more"))
+            pairs = let(F.split(s, ""), lambda p: F.zip_with(p, F.slice(p, F.lit(2), F.size(p)), pair))
+
+            def merge(low: Column) -> Column:
+                return F.struct(F.replace(s, low["pair"], char(low["to"])).alias("s"), F.lit(True).alias("more"))
 
-        return let(self.words(text), joined)
+            found = let(F.array_min(pairs), lambda low: F.when(low.isNull(), stop).otherwise(merge(low)))
+            return F.when(state["more"], found).otherwise(state)
+
+        text = F.array_join(F.transform(start, char), "")
+        steps = F.sequence(F.lit(1), F.greatest(F.size(start) - 1, F.lit(1)))
+        zero = F.struct(text.alias("s"), F.lit(True).alias("more"))
+        return F.aggregate(steps, zero, step, lambda state: F.transform(F.split(state["s"], ""), lambda c: piece(c).cast("int")))
+
+    def fold(self, word: Column, merges: Column) -> Column:
+        """Ids of a word that is not empty, as an array of integers."""
+        latin = F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
+        start = let(self.bytes, lambda ids: F.transform(F.split(latin, ""), lambda c: F.get(ids, F.ascii(c))))
+        near = let(start, lambda p: self._fold_near(p, merges))
+        far = let(start, lambda p: self._fold_far(p, merges))
+        return F.when(F.octet_length(word) <= NEAR_BYTES, near).otherwise(far)
+
+    def folded(self, words: Column) -> Column:
+        """Ids of each of an array of words."""
+        return let(self.merges, lambda m: F.transform(words, lambda w: self.fold(w, m)))
+
+    def encoded(self, rows: DataFrame, text_col: str, ids_col: str, *, slice_words: int = SLICE_WORDS) -> DataFrame:
+        """``rows`` with the ids of a text column as an array of integers; null texts have null."""
+        words = F.coalesce(self.words(F.col(text_col)), F.array().cast("array<string>"))
+        split = rows.withColumn("_words", words)
+        row = T.StructType([*rows.schema.fields, T.StructField("_at", T.ArrayType(T.IntegerType()))])
+        out = T.StructType([T.StructField("words", T.ArrayType(T.StringType())), T.StructField("rows", T.ArrayType(row))])
+        slices = split.mapInArrow(_slices(rows.columns, slice_words, to_arrow_schema(out)), out)
+
+        def ids_of(row: Column, ids: Column) -> Column:
+            found = F.flatten(F.transform(row["_at"], lambda at: F.get(ids, at)))
+            return F.struct(*[row[c].alias(c) for c in rows.columns], F.when(row[text_col].isNotNull(), found).alias(ids_col))
+
+        return slices.select(F.inline(let(self.folded(F.col("words")), lambda ids: F.transform("rows", lambda r: ids_of(r, ids)))))
 
     def decode(self, ids: Column) -> Column:
         """The bytes of an array of ids; null if an id is not in the vocabulary."""
@@ -203,8 +272,8 @@ def encode_decode(docs: DataFrame, codec: Codec, *, id_col: str = "doc_id", text
     """(doc_id, ids, decoded) for every row: the ids of the text and the bytes they decode to.
 
     Null texts count as empty and have no ids.  Null and repeated ids keep their rows.
-    The cost of one word grows with its number of different merges times its length.
+    The cost of a word of more than ``NEAR_BYTES`` bytes grows with its number of different
+    merges times its length.
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    encoded = texts.select("doc_id", codec.encode(F.col("text"), codec.kept(texts)).alias("ids"))
-    return encoded.select("doc_id", "ids", codec.decode(F.col("ids")).alias("decoded"))
+    return codec.encoded(texts, "text", "ids").select("doc_id", "ids", codec.decode(F.col("ids")).alias("decoded"))

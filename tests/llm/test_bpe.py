@@ -42,9 +42,27 @@ def test_empty_table(nothing, codec):
     assert bpe.encode_decode(nothing, codec).count() == 0
 
 
-def test_kept_words_change_nothing(spark, edge, codec, library, monkeypatch):
-    monkeypatch.setattr(bpe, "KEPT_WORDS", 3)
-    assert check(edge, codec, library) == edge.count()
+def test_slices_change_nothing(edge, codec, library):
+    rows = edge.select("doc_id", "text", "word").coalesce(1)
+    for most in (1, 3, 100):
+        got = codec.encoded(rows, "text", "ids", slice_words=most).collect()
+        assert len(got) == edge.count() and got[0].__fields__ == ["doc_id", "text", "word", "ids"]
+        assert all(r.ids == (None if r.text is None else library.encode_ordinary(r.text)) for r in got)
+
+
+def test_a_word_is_folded_once_a_slice(spark, codec):
+    """Whatever the copies, a slice holds its distinct words and positions only."""
+    rows = spark.range(1000).select(F.lit("one two two one").alias("text")).coalesce(1)
+    plan = codec.encoded(rows, "text", "ids")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(sequence") == 2 and "Exchange" not in plan
+    assert codec.encoded(rows, "text", "ids").distinct().count() == 1
+
+
+def test_long_words(spark, codec, library):
+    """Words about the length from which they are held as strings, and far longer ones."""
+    texts = ["ab" * n for n in (30, 31, 32, 33, 5000)] + ["a" * n for n in (61, 62, 63, 64, 20000)] + ["é🙂" * 400]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert check(df, codec, library) == len(texts)
 
 
 @settings(max_examples=8, deadline=None)
