@@ -83,9 +83,13 @@ def _rank_map(merges: dict[int, int]) -> tuple[list[int], int, int]:
         first = _prime(2 * first)
 
 
-def let(value: Column, then) -> Column:
-    """``then(value)`` with the value computed once."""
-    return F.get(F.transform(F.array(value), then), 0)
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with the value computed once.
+
+    Taking the element of a transformed array would work out the type of all of ``then`` anew
+    for each value; folding nothing does not.
+    """
+    return F.aggregate(F.array().cast("array<int>"), value, lambda v, _: v, then)
 
 
 def _slices(columns: list[str], most: int, fields: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
