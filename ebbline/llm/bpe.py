@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-SLICE_WORDS = 1 << 23
+SLICE_WORDS = 1 << 22
 # Bits of a piece, and of a place in a word.  Words of more than NEAR_BYTES bytes are held as
 # strings, the piece of rank r being the code point FIRST + r.
 BITS = 18
