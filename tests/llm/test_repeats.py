@@ -132,3 +132,80 @@ def test_one_anchor_never_fills_an_index(spark, module, split, length, join, mon
     monkeypatch.setattr(repeats, "CHUNK_BYTES", largest)
     df = frame(spark, rows).repartition(20)
     assert outcome(module.dedup(df), None) == expected(by_words(rows), split, length, join)
+
+
+def plain_windows(data, offsets, low, length):
+    """Smallest document of every window by a dictionary, and windows per piece."""
+    pieces = [bytes(data[a:b]) for a, b in zip(offsets, offsets[1:])]
+    windows = [[p[s : s + length] for s in range(len(p) - length + 1)] for p in pieces]
+    least = {}
+    for doc, own in zip(low.tolist(), windows):
+        for w in own:
+            least[w] = min(least.get(w, LATE), doc)
+    return [least[w] for own in windows for w in own], [len(own) for own in windows]
+
+
+@pytest.mark.parametrize("block", [1, 7, 1 << 16])
+def test_refined_buckets_against_a_dictionary(block, monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(suffix_array, "BLOCK", block)
+    rng = np.random.default_rng(block)
+    for _ in range(150):
+        length, k = int(rng.choice([1, 3, 8, 9, 17, 50])), int(rng.integers(1, 8))
+        # Some pieces are shorter than a window; few symbols and periods tie long; zeros are bytes too.
+        sizes = rng.integers(max(length - 2, 0), length + int(rng.choice([1, 20, 200])), k)
+        offsets = np.concatenate(([0], np.cumsum(sizes)))
+        data = rng.integers(0, int(rng.choice([1, 2, 3, 250])), offsets[-1]).astype(np.uint8)
+        if len(data) and rng.random() < 0.4:
+            data = np.resize(data[: int(rng.integers(1, 30))], len(data))
+        low = rng.integers(0, 100, k)
+        first, count = suffix_array.finder(data, offsets, low, length)
+        assert (first.tolist(), count.tolist()) == plain_windows(data, offsets, low, length)
+
+
+def test_only_tied_buckets_are_refined():
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    data = rng.integers(97, 123, 5000).astype(np.uint8)
+    data[3000:3200] = data[100:300]
+    q, length = suffix_array.Q, 50
+    buckets = suffix_array.Buckets(suffix_array.grams(data, q, length), q)
+    text = bytes(data) + bytes(2 * length)
+    waiting, seen = [buckets.tied], 0
+    while waiting:
+        places = waiting.pop()
+        suffix = buckets.order[places]
+        bucket = buckets.pointer[suffix]
+        sizes = np.unique(bucket, return_counts=True)[1]
+        assert sizes.min() > 1
+        assert buckets.shared[bucket].max() < length
+        for s, t in zip(suffix[1:][bucket[1:] == bucket[:-1]], suffix[:-1][bucket[1:] == bucket[:-1]]):
+            n = int(buckets.shared[buckets.pointer[s]])
+            assert text[s : s + n] == text[t : t + n]
+        seen += len(places)
+        rest = buckets.refine(places, length)
+        if len(rest):
+            waiting.append(rest)
+    # The copied passage and the empty suffixes are tied, nearly nothing else is.
+    assert 0 < seen < 2500
+    assert [text[s : s + length] for s in buckets.order] == sorted(text[s : s + length] for s in range(len(data) + length))
+
+
+def test_pointers_of_earlier_buckets_are_reused(monkeypatch):
+    import numpy as np
+
+    # With updates, a later bucket advances by more than its own first bytes.
+    rng = np.random.default_rng(4)
+    unit = rng.integers(97, 123, 400).astype(np.uint8)
+    key = suffix_array.grams(np.concatenate([unit, unit]), 8, 50)
+    rounds = {}
+    for block in (1, 1 << 16):
+        monkeypatch.setattr(suffix_array, "BLOCK", block)
+        n, refine = [], suffix_array.Buckets.refine
+        monkeypatch.setattr(suffix_array.Buckets, "refine", lambda self, p, length: n.append(len(p)) or refine(self, p, length))
+        suffix_array.suffix_order(key, 8, 50)
+        monkeypatch.setattr(suffix_array.Buckets, "refine", refine)
+        rounds[block] = sum(n)
+    assert rounds[1] < rounds[1 << 16]
