@@ -136,30 +136,19 @@ def monthly_transactions(
     # Only clients of some loan matter from here on.
     reach = holdings.join(loans.select("ClientNumber").distinct(), "ClientNumber", "left_semi")
     keys = ["TransactionMonth", *CLASSES]
+    # What no loan reaches passes through the same joins under a NULL client, so that the
+    # transactions are read and reduced once.
+    how = "left" if keep_unlinked else "inner"
     per_client = (
-        per_account.join(reach, "AccountNumber")
+        per_account.join(reach, "AccountNumber", how)
         .groupBy("ClientNumber", *keys)
         .agg(F.sum(F.col("_sum") * F.col("SimpleWeighting")).alias("Amount"), F.sum("_rows").alias("NumRows"))
     )
-    linked = (
-        loans.join(per_client, "ClientNumber")
+    return (
+        per_client.join(loans, "ClientNumber", how)
         .groupBy("HomeLoanAccountNumber", *keys)
         .agg(F.sum("Amount").alias("Amount"), F.sum("NumRows").alias("NumRows"))
     )
-    if not keep_unlinked:
-        return linked
-    unlinked = (
-        per_account.join(reach.select("AccountNumber").distinct(), "AccountNumber", "left_anti")
-        .groupBy(*keys)
-        .agg(F.sum("_rows").alias("NumRows"))
-        .select(
-            F.lit(None).cast(linked.schema["HomeLoanAccountNumber"].dataType).alias("HomeLoanAccountNumber"),
-            *keys,
-            F.lit(None).cast(linked.schema["Amount"].dataType).alias("Amount"),
-            "NumRows",
-        )
-    )
-    return linked.unionByName(unlinked)
 
 
 def spine_pivot(
