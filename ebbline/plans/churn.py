@@ -78,6 +78,11 @@ class Core:
     income: DataFrame
     codes: DataFrame
 
+    @property
+    def held(self) -> DataFrame:
+        """The client map of the base population, for blocks that read no other accounts."""
+        return self.cmap.join(self.base.select(*features.KEY), features.KEY, "left_semi")
+
     def release(self) -> None:
         for df in (self.base, self.cmap):
             df.unpersist()
@@ -112,18 +117,23 @@ def build_features(t: ChurnTables, run: ChurnRun) -> DataFrame:
 
 def _assembled(t: ChurnTables, run: ChurnRun, core: Core) -> DataFrame:
     asof, base, cmap = run.asof, core.base, core.cmap
-    means = features.group_means(core.codes, core.details, core.income)
+    held = core.held
+    details = features.client_details(asof, held, t.client)
+    means = features.group_means(core.codes, details, core.income)
+    pledged = t.security_bridge.join(
+        base.select(F.col("as_of_date").alias("EndOfDayDate"), "AccountNumber"), ["EndOfDayDate", "AccountNumber"], "left_semi"
+    )
     return features.assemble(
         base,
-        details=core.details,
-        securities=features.collateral(asof, t.security_bridge, t.security),
+        details=details,
+        securities=features.collateral(asof, pledged, t.security),
         market=market_lookup(t, run),
         rates=rate_lookup(t, run),
-        changed=features.attribute_changed(asof, t.address, cmap),
+        changed=features.attribute_changed(asof, t.address, held),
         related=related_accounts(asof, base, cmap, t.account),
         logins=features.activity_change(
             asof,
-            cmap.join(base.select(*features.KEY), features.KEY, "left_semi"),
+            held,
             t.activity,
             measures={
                 "InternetBankingLogonCountMTD": "WebLoginsRelChange",

@@ -41,3 +41,13 @@ def test_later_repayments_read_their_tables_once(tables):
     core = churn.core_blocks(tables, catalogue.RUN)
     later = fe.later_repayments(catalogue.ASOF, core.base, core.cmap, tables.account, core.paid)
     assert not any("Relation" in line for line in plan(later))
+
+
+def test_assembly_reads_blocks_of_base_accounts_only(tables, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(fe, "assemble", lambda base, **blocks: seen.update(blocks, base=base) or base)
+    monkeypatch.setattr(fe, "later_repayments", lambda *a: None)
+    core = churn.core_blocks(tables, catalogue.RUN)
+    churn._assembled(tables, catalogue.RUN, core)
+    for name in ("details", "securities", "changed"):
+        assert seen[name].join(core.base, fe.KEY, "left_anti").isEmpty(), name
