@@ -406,6 +406,11 @@ def q_occupation_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return churn.core_blocks(tables(spark, sf_dir), RUN).codes
 
 
+def _means(t: churn.ChurnTables) -> tuple[churn.Core, DataFrame]:
+    core = churn.core_blocks(t, RUN)
+    return core, fe.group_means(core.codes, fe.client_details(ASOF, core.held, t.client), core.income)
+
+
 _IMPUTE = ",".join([S.BANK, S.BASE, S.DETAILS, S.INCOME, S.CODES, S.IMPUTED])
 
 
@@ -416,8 +421,7 @@ _IMPUTE = ",".join([S.BANK, S.BASE, S.DETAILS, S.INCOME, S.CODES, S.IMPUTED])
     sql="SELECT *, mi AS AvgMonthlyIncome, me AS AvgMonthlyExpenses FROM means",
 )
 def q_group_means(spark: SparkSession, sf_dir: str) -> DataFrame:
-    core = churn.core_blocks(tables(spark, sf_dir), RUN)
-    return fe.group_means(core.codes, core.details, core.income)
+    return _means(tables(spark, sf_dir))[1]
 
 
 @query(
@@ -427,8 +431,7 @@ def q_group_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     sql="SELECT * FROM imputed",
 )
 def q_group_mean_impute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    core = churn.core_blocks(tables(spark, sf_dir), RUN)
-    means = fe.group_means(core.codes, core.details, core.income)
+    core, means = _means(tables(spark, sf_dir))
     return fe.impute_from_groups(core.income, core.codes, means)
 
 

@@ -51,3 +51,12 @@ def test_assembly_reads_blocks_of_base_accounts_only(tables, monkeypatch):
     churn._assembled(tables, catalogue.RUN, core)
     for name in ("details", "securities", "changed"):
         assert seen[name].join(core.base, fe.KEY, "left_anti").isEmpty(), name
+
+
+def test_group_means_read_clients_of_base_accounts_only(tables, monkeypatch):
+    seen = []
+    monkeypatch.setattr(fe, "group_means", lambda codes, details, income: seen.append(details))
+    monkeypatch.setattr(catalogue, "tables", lambda spark, sf_dir: tables)
+    catalogue.q_group_means(tables.account.sparkSession, SF)
+    core = churn.core_blocks(tables, catalogue.RUN)
+    assert seen[0].join(core.base, fe.KEY, "left_anti").isEmpty()
