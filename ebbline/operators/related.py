@@ -77,11 +77,10 @@ def _set_id(keys: Sequence[str]) -> Column:
     """An id of the set of clients of the rows of each key: two 64-bit hashes combined over
     the clients, and their number."""
     w = Window.partitionBy(*keys)
-    return F.concat_ws(
-        "/",
-        F.count("client").over(w),
-        F.bit_xor(F.xxhash64("client")).over(w),
-        F.bit_xor(F.xxhash64("client", F.lit("second"))).over(w),
+    return F.struct(
+        F.count("client").over(w).alias("n"),
+        F.bit_xor(F.xxhash64("client")).over(w).alias("x"),
+        F.bit_xor(F.xxhash64("client", F.lit("second"))).over(w).alias("y"),
     )
 
 
@@ -113,7 +112,7 @@ def related_totals(base: DataFrame, members: DataFrame) -> DataFrame:
         base.filter(F.col("client").isNotNull())
         .select(day, "account", "client")
         .distinct()
-        .withColumn("_b", F.concat_ws("/", _set_id([day, "account"]), _place("account")))
+        .withColumn("_b", F.struct(_set_id([day, "account"]).alias("set"), _place("account").alias("place")))
     )
     accounts = asked.select(day, "account", "_b").distinct()
     whole = Window.partitionBy(day, "_b")
@@ -130,12 +129,14 @@ def related_totals(base: DataFrame, members: DataFrame) -> DataFrame:
         .withColumns({"_c": at(1), "_d": at(2)})
     )
 
+    # Only the other side of a join is renamed, so that the shuffles of ``held`` are shared.
     def holding(found: DataFrame, who: str, how: str) -> DataFrame:
         """Rows whose member set holds the client in ``who``, or those whose set does not."""
-        return found.join(held.select(day, "_id", F.col("client").alias(who)), [day, "_id", who], how)
+        return found.withColumn("client", F.col(who)).join(held, [day, "_id", "client"], how).drop("client")
 
     couples = ranked.filter("_rank = 2").select(day, "_c", "_d").distinct()
-    both = holding(couples.join(held.withColumnRenamed("client", "_d"), [day, "_d"]), "_c", "left_semi")
+    sets = couples.withColumn("client", F.col("_d")).join(held, [day, "client"]).drop("client")
+    both = holding(sets, "_c", "left_semi")
     per_couple = both.groupBy(day, "_c", "_d").agg(*[F.sum(n).alias(f"_{n}") for n in NAMES]).withColumn("_rank", F.lit(2))
     counted = (
         ranked.filter("_rank <= 2")

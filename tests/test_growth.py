@@ -43,6 +43,12 @@ def test_later_repayments_read_their_tables_once(tables):
     assert not any("Relation" in line for line in plan(later))
 
 
+def test_ids_of_client_sets_are_numbers(tables):
+    core = churn.core_blocks(tables, catalogue.RUN)
+    found = related_accounts(catalogue.ASOF, core.base, core.cmap, tables.account)
+    assert not any("concat_ws" in line for line in plan(found))
+
+
 def test_assembly_reads_blocks_of_base_accounts_only(tables, monkeypatch):
     seen = {}
     monkeypatch.setattr(fe, "assemble", lambda base, **blocks: seen.update(blocks, base=base) or base)
