@@ -2,10 +2,12 @@
 
 Texts are split into words where they stand.  Each task then gathers slices of at most
 ``SLICE_WORDS`` words (one longer text is a slice of its own) and writes a slice as its
-distinct words and, per row, their positions.  ``fold`` folds ranked merges over the byte
-array of each distinct word: each step merges the pair of the lowest rank.  The ranks are
-one literal, the only one that encoding has, whose size is that of the vocabulary.  The ids
-of a text are those of its words.  Nothing is shuffled, counted or collected.
+distinct words and, per row, their positions.  Distinct words of at most ``SHORT_BYTES``
+bytes are merged there as the columns of a matrix, one merge of each word a step.  ``fold``
+folds ranked merges over the byte array of each longer one: each step merges the pair of the
+lowest rank.  The ranks are one literal, the only one that encoding has, whose size is that
+of the vocabulary.  The ids of a text are those of its words.  Nothing is shuffled, counted
+or collected.
 
 Decoding looks up each id's bytes in a literal and concatenates them; a byte is there the
 Latin-1 character of its value.
@@ -16,7 +18,9 @@ from __future__ import annotations
 import base64
 import json
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -24,7 +28,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from ebbline.llm.words import ragged
+
 SLICE_WORDS = 1 << 22
+# Words of at most this many bytes are merged side by side, so many at a time, in matrices of
+# these heights.
+SHORT_BYTES = 32
+HEIGHTS = (4, 8, 16, SHORT_BYTES)
+SHORT_BLOCK = 1 << 15
 # Bits of a piece, and of a place in a word.  Words of more than NEAR_BYTES bytes are held as
 # strings, the piece of rank r being the code point FIRST + r.
 BITS = 18
@@ -92,8 +103,90 @@ def let(value: Column, then: Callable[[Column], Column]) -> Column:
     return F.aggregate(F.array().cast("array<int>"), value, lambda v, _: v, then)
 
 
-def _slices(columns: list[str], most: int, fields: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """From rows with a list ``_words`` to slices (words, rows with the list ``_at``)."""
+class Merges(NamedTuple):
+    """The rank map, and the id of each byte; ``end`` is no piece and merges with none."""
+
+    table: np.ndarray
+    first: int
+    second: int
+    byte: np.ndarray
+    end: int
+
+    def of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """What the pieces merge to, NONE if they do not; see ``Codec._merged``."""
+        pair = a.astype(np.int64) << BITS | b
+        left = [self.table[pair % p] ^ (pair << BITS) for p in (self.first, self.second)]
+        return np.minimum(np.minimum(*left), NONE).astype(np.int32)
+
+
+def _merged_columns(pieces: np.ndarray, merges: Merges) -> np.ndarray:
+    """The ids of words that stand as columns of bytes' ids, with ``end`` below them.
+
+    A step merges the first pair of the lowest rank of each word; only its neighbours change.
+    """
+    done = pieces.copy()
+    column = np.arange(pieces.shape[1])
+    place = np.arange(len(pieces), dtype=np.int32)[:, None]
+    ranks = merges.of(pieces[:-1], pieces[1:])
+    while True:
+        least = (ranks << PLACE | place[:-1]).min(axis=0)
+        open_ = least < NONE << PLACE
+        if not open_.all():
+            done[:, column[~open_]] = pieces[:, ~open_]
+            pieces, ranks, column, least = pieces[:, open_], ranks[:, open_], column[open_], least[open_]
+        if not len(column):
+            return done
+        at = least & ((1 << PLACE) - 1)
+        mine = np.arange(len(column))
+        pieces[:-1] = np.where(place[:-1] > at, pieces[1:], pieces[:-1])
+        pieces[-1] = merges.end
+        pieces[at, mine] = least >> PLACE
+        ranks[:-1] = np.where(place[:-2] > at, ranks[1:], ranks[:-1])
+        ranks[-1] = NONE
+        # The last place never begins a pair after a merge.
+        here = np.minimum(at, len(ranks) - 1)
+        ranks[here, mine] = merges.of(pieces[here, mine], pieces[here + 1, mine])
+        before = np.maximum(at - 1, 0)
+        ranks[before, mine] = merges.of(pieces[before, mine], pieces[before + 1, mine])
+
+
+def short_ids(words: pa.Array, merges: Merges) -> pa.Array:
+    """Ids of each word of 1 to SHORT_BYTES bytes, null for the others."""
+    held = words.cast(pa.large_binary())
+    n = len(held)
+    offsets = np.frombuffer(held.buffers()[1], np.int64, held.offset + n + 1)[held.offset :] if n else np.zeros(1, np.int64)
+    data = np.frombuffer(held.buffers()[2] or b"", np.uint8) if n else np.zeros(0, np.uint8)
+    size = np.diff(offsets)
+    short = (size > 0) & (size <= SHORT_BYTES)
+    counts, parts = np.zeros(n, np.int64), []
+    low = 0
+    for height in HEIGHTS:
+        of_height = np.flatnonzero(short & (size > low) & (size <= height))
+        low = height
+        for i in range(0, len(of_height), SHORT_BLOCK):
+            block = of_height[i : i + SHORT_BLOCK]
+            at = np.arange(height)[:, None]
+            there = at < size[block]
+            # One row more, so that every piece has a next one.
+            pieces = np.full((height + 1, len(block)), merges.end, np.int32)
+            pieces[:-1][there] = merges.byte[data[(offsets[block] + at)[there]]]
+            ids = _merged_columns(pieces, merges).T
+            is_piece = ids != merges.end
+            counts[block] = is_piece.sum(axis=1)
+            parts.append((block, ids[is_piece]))
+    ends = np.concatenate(([0], np.cumsum(counts)))
+    flat = np.empty(ends[-1], np.int32)
+    for block, ids in parts:
+        flat[ragged(ends[block], counts[block])] = ids
+    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+    return pc.if_else(pa.array(short), lists, pa.scalar(None, lists.type))
+
+
+def _slices(columns: list[str], most: int, merges: Merges, fields: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """From rows with a list ``_words`` to slices (words, short, rows with the list ``_at``).
+
+    ``short`` are the ids of words that are short; a word is null where they stand.
+    """
 
     def told(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(batches).combine_chunks()
@@ -102,7 +195,9 @@ def _slices(columns: list[str], most: int, fields: pa.Schema) -> Callable[[Itera
         at = pa.ListArray.from_arrays(pc.subtract(lists.offsets, lists.offsets[0]), coded.indices)
         kept = [table[c].combine_chunks() for c in columns]
         rows = pa.StructArray.from_arrays([*kept, at], [*columns, "_at"])
-        one = [pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a) for a in (coded.dictionary, rows)]
+        short = short_ids(coded.dictionary, merges)
+        words = pc.if_else(short.is_null(), coded.dictionary, pa.scalar(None, coded.dictionary.type))
+        one = [pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a) for a in (words, short, rows)]
         return pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(one, fields)], schema=fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,9 +244,11 @@ class Codec:
                 merges[ranks[pair[0]] << BITS | ranks[pair[1]]] = rank
         self.pattern = f"(?U){pattern}"
         table, self.first, self.second = _rank_map(merges)
+        byte = [ranks[bytes([b])] for b in range(256)]
+        self.short = Merges(np.array(table, np.int64), self.first, self.second, np.array(byte, np.int32), self.size)
         self.merges = F.from_json(F.lit(json.dumps(table)), "array<bigint>")
         self.pieces = F.from_json(F.lit(json.dumps(pieces)), "array<string>")
-        self.bytes = F.from_json(F.lit(json.dumps([ranks[bytes([b])] for b in range(256)])), "array<bigint>")
+        self.bytes = F.from_json(F.lit(json.dumps(byte)), "array<bigint>")
 
     def words(self, text: Column) -> Column:
         return F.regexp_extract_all(text, F.lit(self.pattern), F.lit(0))
@@ -247,23 +344,24 @@ class Codec:
         far = let(start, lambda p: self._fold_far(p, merges))
         return F.when(F.octet_length(word) <= NEAR_BYTES, near).otherwise(far)
 
-    def folded(self, words: Column) -> Column:
-        """Ids of each of an array of words."""
-        return let(self.merges, lambda m: F.transform(words, lambda w: self.fold(w, m)))
+    def folded(self, words: Column, short: Column) -> Column:
+        """Ids of each of an array of words, ``short`` where they are known."""
+        return let(self.merges, lambda m: F.zip_with(short, words, lambda ids, w: F.coalesce(ids, self.fold(w, m))))
 
     def encoded(self, rows: DataFrame, text_col: str, ids_col: str, *, slice_words: int = SLICE_WORDS) -> DataFrame:
         """``rows`` with the ids of a text column as an array of integers; null texts have null."""
         words = F.coalesce(self.words(F.col(text_col)), F.array().cast("array<string>"))
         split = rows.withColumn("_words", words)
         row = T.StructType([*rows.schema.fields, T.StructField("_at", T.ArrayType(T.IntegerType()))])
-        out = T.StructType([T.StructField("words", T.ArrayType(T.StringType())), T.StructField("rows", T.ArrayType(row))])
-        slices = split.mapInArrow(_slices(rows.columns, slice_words, to_arrow_schema(out)), out)
+        ids = T.ArrayType(T.ArrayType(T.IntegerType()))
+        out = T.StructType([T.StructField("words", T.ArrayType(T.StringType())), T.StructField("short", ids), T.StructField("rows", T.ArrayType(row))])
+        slices = split.mapInArrow(_slices(rows.columns, slice_words, self.short, to_arrow_schema(out)), out)
 
         def ids_of(row: Column, ids: Column) -> Column:
             found = F.flatten(F.transform(row["_at"], lambda at: F.get(ids, at)))
             return F.struct(*[row[c].alias(c) for c in rows.columns], F.when(row[text_col].isNotNull(), found).alias(ids_col))
 
-        return slices.select(F.inline(let(self.folded(F.col("words")), lambda ids: F.transform("rows", lambda r: ids_of(r, ids)))))
+        return slices.select(F.inline(let(self.folded(F.col("words"), F.col("short")), lambda ids: F.transform("rows", lambda r: ids_of(r, ids)))))
 
     def decode(self, ids: Column) -> Column:
         """The bytes of an array of ids; null if an id is not in the vocabulary."""

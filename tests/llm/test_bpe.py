@@ -1,4 +1,5 @@
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -65,6 +66,16 @@ def test_long_words(spark, codec, library):
     assert check(df, codec, library) == len(texts)
 
 
+def test_short_words_are_merged_side_by_side(codec, library):
+    """All but words of more bytes come without a fold, equal to the library's."""
+    texts = ["a" * n for n in range(1, 35)] + ["the", "naïve", "日本語テキスト", "🙂🙂", "\u0000", "", "aabab" * 6, "walking", "x" * 31 + "é"]
+    got = bpe.short_ids(pa.array(texts), codec.short).to_pylist()
+    for text, ids in zip(texts, got):
+        raw = text.encode()
+        assert ids == (library._encode_single_piece(raw) if 0 < len(raw) <= bpe.SHORT_BYTES else None)
+    assert bpe.short_ids(pa.array([], pa.string()), codec.short).to_pylist() == []
+
+
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.text(max_size=40), min_size=1, max_size=30))
 def test_any_text(spark, codec, library, texts):
