@@ -47,7 +47,7 @@ def _grams(words: Column, n: int) -> Column:
     return F.when(last >= 0, grams).otherwise(F.array().cast("array<bigint>"))
 
 
-def _winnowed(text: Column) -> Column:
+def _winnowed(words: Column) -> Column:
     """Array of (h, at): hashes that are the smallest of some window, ties included.
 
     A window's minimum stands at p when the largest of the minima of all windows over p
@@ -68,7 +68,20 @@ def _winnowed(text: Column) -> Column:
         )
         return F.filter(marked, lambda s: s.isNotNull())
 
-    return let(_hashes(text), lambda words: let(_grams(words, GRAM), lambda h: let(minima(h), lambda m: kept(h, m))))
+    return let(_grams(words, GRAM), lambda h: let(minima(h), lambda m: kept(h, m)))
+
+
+def _short(words: Column, n: int) -> Column:
+    """Array of (h, at) of every ``n`` words; h is apart from that of other lengths."""
+    return F.transform(_grams(words, n), lambda h, i: F.struct(h.bitwiseXOR(F.lit(n).cast("bigint")).alias("h"), i.alias("at")))
+
+
+def _marks(text: Column, lengths: list[int]) -> Column:
+    """Array of (h, at): kept hashes and every window of the lengths of short items.
+
+    The words are split and hashed once for all of them.
+    """
+    return let(_hashes(text), lambda words: F.concat(_winnowed(words), *[_short(words, n) for n in lengths]))
 
 
 def _bounded(items: DataFrame) -> DataFrame:
@@ -80,23 +93,15 @@ def _candidates(texts: DataFrame, items: DataFrame) -> DataFrame:
     """(key, item, offset) for all kept hashes that texts and items share."""
     size = F.size(plain_words(F.col("text")))
     sized = items.withColumn("n", size).filter("n > 0")
-    long_items = sized.filter(F.col("n") >= SPAN).select("item", F.explode(_winnowed(F.col("text"))).alias("f"))
-    long_items = long_items.select("item", F.col("f.h").alias("h"), F.col("f.at").alias("item_at"))
-    found = texts.select("key", F.explode(_winnowed(F.col("text"))).alias("f")).select("key", "f.h", "f.at")
-    offsets = [found.join(_bounded(long_items), "h").select("key", "item", (F.col("at") - F.col("item_at")).alias("offset"))]
     # Shorter items are one window each; at most SPAN - 1 lengths come to the driver.
-    for (n,) in sorted(sized.filter(F.col("n") < SPAN).select("n").distinct().collect()):
-        short = sized.filter(F.col("n") == n).select("item", F.get(_grams(_hashes(F.col("text")), n), 0).alias("h"))
-        every = texts.select("key", F.posexplode(_short_grams(F.col("text"), n)).alias("at", "h"))
-        offsets.append(every.join(_bounded(short), "h").select("key", "item", F.col("at").alias("offset")))
-    out = offsets[0]
-    for more in offsets[1:]:
-        out = out.union(more)
-    return out.distinct()
-
-
-def _short_grams(text: Column, n: int) -> Column:
-    return let(_hashes(text), lambda w: _grams(w, n))
+    lengths = sorted(n for (n,) in sized.filter(F.col("n") < SPAN).select("n").distinct().collect())
+    whole = F.array().cast("array<struct<h:bigint,at:int>>")
+    for n in lengths:
+        whole = F.when(F.col("n") == n, _short(_hashes(F.col("text")), n)).otherwise(whole)
+    marks = F.when(F.col("n") >= SPAN, _winnowed(_hashes(F.col("text")))).otherwise(whole)
+    wanted = sized.select("item", F.inline(marks)).withColumnRenamed("at", "item_at")
+    found = texts.select("key", F.inline(_marks(F.col("text"), lengths)))
+    return found.join(_bounded(wanted), "h").select("key", "item", (F.col("at") - F.col("item_at")).alias("offset")).distinct()
 
 
 def _runs(words: Column, item: Column, offset: Column) -> Column:

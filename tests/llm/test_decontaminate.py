@@ -1,6 +1,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from ebbline.llm import decontaminate
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -95,3 +97,12 @@ def test_a_text_is_split_once_for_all_its_candidates(spark, sample):
     plan = decontaminate.hits(sample, items)._jdf.queryExecution().optimizedPlan().toString()
     compare = next(line for line in plan.splitlines() if "Generate inline" in line)
     assert compare.count("regexp_extract_all") == 2  # the text's words and the item's
+
+
+def test_texts_are_split_once_for_items_of_all_lengths(spark, sample):
+    """Short items of several lengths and long ones are looked up in one pass over the texts."""
+    items = [("a", "one two three four five six seven eight nine ten"), ("b", "one"), ("c", "one two three"), ("d", "four five six seven")]
+    items = spark.createDataFrame(items, "item_id string, text string")
+    plan = decontaminate._candidates(sample.selectExpr("doc_id AS key", "text"), items.select(F.col("item_id").alias("item"), "text"))
+    lines = plan._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert sum("Relation [" in line or "FileScan" in line for line in lines) == 1
