@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbline.functions.dates import calendar_days
+from ebbline.operators.transactions import has_counterparty
 from ebbline.sources.io import read_table
 
 RUN_DATE = dt.date(2001, 8, 2)
@@ -125,16 +126,16 @@ class Bank:
             product.alias("product"),
         )
 
-    @cached_property
-    def held_lines(self) -> DataFrame:
+    def held_lines(self, lines: DataFrame) -> DataFrame:
         """Order lines with the order month and the customer's kind and closing day.
 
-        The customer is joined to the orders, which are fewer, so lines are shuffled once.
+        The customer is joined to the orders, which are fewer, so lines are shuffled once; what is
+        told of a line is worked out before that.
         """
         o = self.orders.select("o_orderkey", "o_custkey", "m").join(
             self.holders.select("o_custkey", "kind", "closed"), "o_custkey"
         )
-        return self.table("lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
+        return lines.join(o, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
 
     @cached_property
     def account(self) -> DataFrame:
@@ -191,7 +192,7 @@ class Bank:
         # Placed by account and month, which is also how the blocks join it.  The names are the
         # final ones here, so that a filter on the day passes the window.
         held = (
-            self.held_lines.select(
+            self.held_lines(self.table("lineitem")).select(
                 _acc().alias("AccountNumber"), F.col("m").alias("EndOfDayDate"), "l_suppkey", "kind", "closed"
             )
             .repartition("AccountNumber", "EndOfDayDate")
@@ -291,11 +292,21 @@ class Bank:
 
     @cached_property
     def transactions(self) -> DataFrame:
-        ext = F.col("l_extendedprice").cast(MONEY)
         flag = F.col("l_returnflag")
         plus = (flag == "A") | ((flag == "N") & (F.col("l_linestatus") == "O"))
-        signed = F.when(F.col("l_discount") == 0, F.lit(0)).when(plus, ext).otherwise(-ext).cast(MONEY)
         n = F.col("l_linenumber")
+        lines = self.table("lineitem").select(
+            "l_orderkey",
+            "l_linenumber",
+            F.col("l_shipdate").cast("date").alias("TransactionDate"),
+            F.col("l_extendedprice").cast(MONEY).alias("TransactionAmount"),
+            F.when(F.col("l_discount") == 0, 0).when(plus, 1).otherwise(-1).alias("sign"),
+            F.when(n != 4, F.col("l_suppkey").cast("string")).alias("CounterPartyBSB"),
+            F.col("l_partkey").cast("string").alias("CounterPartyAccountNumber"),
+            F.when(F.col("l_tax") == 0, "472").otherwise("100").alias("TransactionCode"),
+        )
+        lines = lines.withColumn("HasCounterParty", has_counterparty())
+        ext, sign = F.col("TransactionAmount"), F.col("sign")
         text = (
             F.when(n == 1, "Home Repayment")
             .when(n == 2, "MORTGAGE transfer")
@@ -303,15 +314,16 @@ class Bank:
             .otherwise("Card purchase")
         )
         return self._branded(
-            self.held_lines,
+            self.held_lines(lines),
             _acc().alias("AccountNumber"),
-            F.col("l_shipdate").cast("date").alias("TransactionDate"),
-            signed.alias("SourceTransactionAmount"),
-            ext.alias("TransactionAmount"),
+            "TransactionDate",
+            F.when(sign == 0, F.lit(0)).when(sign == 1, ext).otherwise(-ext).cast(MONEY).alias("SourceTransactionAmount"),
+            "TransactionAmount",
             F.col("kind").alias("GeneralAccountTypeDescription"),
-            F.when(n != 4, F.col("l_suppkey").cast("string")).alias("CounterPartyBSB"),
-            F.col("l_partkey").cast("string").alias("CounterPartyAccountNumber"),
-            F.when(F.col("l_tax") == 0, "472").otherwise("100").alias("TransactionCode"),
+            "CounterPartyBSB",
+            "CounterPartyAccountNumber",
+            "TransactionCode",
+            "HasCounterParty",
             text.alias("TransactionDescription"),
         )
 

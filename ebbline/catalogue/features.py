@@ -18,6 +18,7 @@ from ebbline.operators.ordered import ntile
 from ebbline.operators.related import related_accounts
 from ebbline.operators.trends import account_trends
 from ebbline.plans import churn
+from ebbline.session import freeze
 
 START, END = dt.date(1997, 1, 1), dt.date(2001, 1, 1)
 ASOF = asof_dates(
@@ -137,11 +138,17 @@ def q_txn_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tx.classify_transactions(tables(spark, sf_dir).transactions)
 
 
+def _bridge_at_end(t: churn.ChurnTables) -> DataFrame:
+    """The bridge of the last day, one snapshot of many; it is read three times."""
+    return freeze(t.bridge.filter(F.col("EndOfDayDate") == F.lit(END - dt.timedelta(days=1))))
+
+
 def _monthly(t: churn.ChurnTables) -> DataFrame:
+    bridge = _bridge_at_end(t)
     return tx.monthly_transactions(
         tx.classify_transactions(t.transactions),
-        tx.loan_clients(t.account, t.bridge, start=START, end=END),
-        tx.client_accounts(t.bridge, end=END),
+        tx.loan_clients(t.account, bridge, start=START, end=END),
+        tx.client_accounts(bridge, end=END),
         start=START,
         end=END,
     )
@@ -195,7 +202,7 @@ def q_month_spine_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_txn_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = tables(spark, sf_dir)
     return tx.transaction_features(
-        t.account, t.bridge, t.transactions, month_ends(t.calendar, START, END), start=START, end=END
+        t.account, _bridge_at_end(t), t.transactions, month_ends(t.calendar, START, END), start=START, end=END
     )
 
 

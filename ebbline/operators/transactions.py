@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.operators.joins import open_or_closed_within
@@ -28,9 +28,44 @@ OTHER_LOANS = "other loans"
 LARGE_PAYMENT = "large transaction (2.5K)"
 FROM_EXTERNAL_BANK = "PaymentFromExternalBank"
 
+# Transactions of this code are no payments.
+SKIP_CODE = "472"
+
 CLASSES = ["AccountType", "TransactionType", "ExternalPaymenttype", "IncomingPaymentType"]
 
 
+# What the classes but the account type can hold, besides NULL.
+CLASS_LABELS = {
+    "TransactionType": ["Credit", "Debit"],
+    "ExternalPaymenttype": [HOME_LOAN_PAYMENT, OTHER_LOANS, LARGE_PAYMENT],
+    "IncomingPaymentType": [FROM_EXTERNAL_BANK],
+}
+
+
+def _class_code() -> Column:
+    """The labels of a transaction as one small number, which shuffles carry instead of them."""
+    code = F.lit(0)
+    for name, labels in CLASS_LABELS.items():
+        c = F.col(name)
+        digit = F.when(c.isNull(), 0)
+        for i, label in enumerate(labels, 1):
+            digit = digit.when(c == label, i)
+        code = code * (len(labels) + 1) + digit.otherwise(F.raise_error(F.concat(F.lit(f"no {name}: "), c)).cast("int"))
+    return code
+
+
+def _class_labels(code: Column) -> dict[str, Column]:
+    out = {}
+    for name, labels in reversed(CLASS_LABELS.items()):
+        n = len(labels) + 1
+        label = F.lit(None).cast("string")
+        for i, value in enumerate(labels, 1):
+            label = F.when(code % n == i, value).otherwise(label)
+        out[name] = label
+        code = F.floor(code / n).cast("int")
+    return out
+
+
 def loan_clients(accounts: DataFrame, bridge: DataFrame, *, start: dt.date, end: dt.date) -> DataFrame:
     """Variable home loans open at the last day or closed in the range, with their clients."""
     day = end - dt.timedelta(days=1)
@@ -74,8 +109,21 @@ def transaction_scope(
     )
 
 
+def has_counterparty(skip_code: str = SKIP_CODE) -> Column:
+    """Whether another bank's account stands on the other side.
+
+    A source that joins accounts to wide transactions can tell this before the join, as column
+    ``HasCounterParty``, so that what it rests on need not be shuffled.
+    """
+    return (
+        F.col("CounterPartyBSB").isNotNull()
+        & F.col("CounterPartyAccountNumber").isNotNull()
+        & (F.col("TransactionCode") != skip_code)
+    )
+
+
 def classify_transactions(
-    txns: DataFrame, *, large: float = 2500, skip_code: str = "472"
+    txns: DataFrame, *, large: float = 2500, skip_code: str = SKIP_CODE
 ) -> DataFrame:
     """Add AccountType, TransactionType, ExternalPaymenttype and IncomingPaymentType (FE22)."""
     sign = F.sign("SourceTransactionAmount")
@@ -83,11 +131,8 @@ def classify_transactions(
     text = F.lower("TransactionDescription")
     saving, lending = kind.isin(SAVINGS_CLASS), kind.isin(LENDING_CLASS)
     money_in, money_out = sign == 1, sign == -1
-    counterparty = (
-        F.col("CounterPartyBSB").isNotNull()
-        & F.col("CounterPartyAccountNumber").isNotNull()
-        & (F.col("TransactionCode") != skip_code)
-    )
+    told = skip_code == SKIP_CODE and "HasCounterParty" in txns.columns
+    counterparty = F.col("HasCounterParty") if told else has_counterparty(skip_code)
     # A positive amount adds to savings but adds to what is owed on a loan.
     kind_of = F.when((saving & money_in) | (lending & money_out), "Credit").when(
         (saving & money_out) | (lending & money_in), "Debit"
@@ -130,12 +175,12 @@ def monthly_transactions(
     per_account = (
         classified.filter(day.between(F.lit(start), F.lit(end - dt.timedelta(days=1))))
         .filter(F.col("SourceTransactionAmount") != 0)
-        .groupBy("AccountNumber", F.last_day(day).alias("TransactionMonth"), *CLASSES)
+        .groupBy("AccountNumber", F.last_day(day).alias("TransactionMonth"), "AccountType", _class_code().alias("_class"))
         .agg(F.sum(F.abs("SourceTransactionAmount")).alias("_sum"), F.count(F.lit(1)).alias("_rows"))
     )
     # Only clients of some loan matter from here on.
     reach = holdings.join(loans.select("ClientNumber").distinct(), "ClientNumber", "left_semi")
-    keys = ["TransactionMonth", *CLASSES]
+    keys = ["TransactionMonth", "AccountType", "_class"]
     # What no loan reaches passes through the same joins under a NULL client, so that the
     # transactions are read and reduced once.
     how = "left" if keep_unlinked else "inner"
@@ -144,11 +189,16 @@ def monthly_transactions(
         .groupBy("ClientNumber", *keys)
         .agg(F.sum(F.col("_sum") * F.col("SimpleWeighting")).alias("Amount"), F.sum("_rows").alias("NumRows"))
     )
-    return (
+    # Placed by loan and month, by which the pivot goes on.
+    per_loan = (
         per_client.join(loans, "ClientNumber", how)
+        .repartition("HomeLoanAccountNumber", "TransactionMonth")
         .groupBy("HomeLoanAccountNumber", *keys)
         .agg(F.sum("Amount").alias("Amount"), F.sum("NumRows").alias("NumRows"))
     )
+    labels = _class_labels(F.col("_class"))
+    named = [labels[c].alias(c) if c in labels else F.col(c) for c in CLASSES]
+    return per_loan.select("HomeLoanAccountNumber", "TransactionMonth", *named, "Amount", "NumRows")
 
 
 def spine_pivot(

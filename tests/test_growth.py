@@ -66,3 +66,31 @@ def test_group_means_read_clients_of_base_accounts_only(tables, monkeypatch):
     catalogue.q_group_means(tables.account.sparkSession, SF)
     core = churn.core_blocks(tables, catalogue.RUN)
     assert seen[0].join(core.base, fe.KEY, "left_anti").isEmpty()
+
+
+def test_what_is_told_of_a_line_is_told_before_its_shuffle(tables):
+    """Neither the columns that classes rest on nor their labels go through the shuffles."""
+    physical = catalogue._monthly(tables)._jdf.queryExecution().executedPlan().toString().split("\n")
+    scan = next(i for i, line in enumerate(physical) if "FileScan" in line and "l_partkey" in line)
+    above = next(line for line in reversed(physical[:scan]) if "Project" in line)
+    for column in ("l_suppkey", "l_partkey", "l_tax", "l_discount", "l_returnflag"):
+        assert f"{column}#" in physical[scan] and f", {column}#" not in above, column
+    assert any("_class#" in line for line in physical if "Exchange" in line)
+    assert not any("IncomingPaymentType#" in line for line in physical if "Exchange" in line)
+
+
+def test_bridge_of_the_last_day_is_worked_out_once(tables):
+    scans = [line for line in catalogue._monthly(tables)._jdf.queryExecution().executedPlan().toString().split("\n") if "FileScan" in line and "l_suppkey" in line]
+    assert len(scans) == 1
+
+
+def test_unknown_class_labels_are_refused(spark):
+    from pyspark.errors import PySparkException
+    from pyspark.sql import functions as F
+
+    row = spark.range(1).select(*[F.lit(v).cast("string").alias(c) for c, v in zip(catalogue.tx.CLASSES, ("Savings", "Fee", None, None))])
+    with pytest.raises(PySparkException):
+        row.select(catalogue.tx._class_code()).collect()
+    every = spark.range(24).select(F.col("id").cast("int").alias("code"))
+    labels = every.select("code", *[c.alias(n) for n, c in catalogue.tx._class_labels(F.col("code")).items()])
+    assert all(r.code == r.back for r in labels.withColumn("back", catalogue.tx._class_code()).collect())
