@@ -27,7 +27,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.llm import words as W
@@ -93,11 +93,92 @@ def _runs(u: Units, spec: Spec) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return d[head], a[head], at[head], np.diff(np.append(head, len(at)))
 
 
+# Anchors are dealt by their lowest bits; they are minima, so the highest are mostly zero.  Those
+# known to be repeated need no place of their own.
+LEAD_BITS = 9
+KNOWN_ROWS = 1 << 13
+
+
+def _packed(lead: np.ndarray, a: np.ndarray, doc: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of one ``lead`` (sorted) as a list each: ``width`` low bytes of ``a`` and then the bytes
+    of ``doc``, all lowest bytes first.  Edges of the lists and their bytes."""
+    n = len(a)
+    wide = max(1, (int(doc.max(initial=0)).bit_length() + 7) // 8)
+    head = np.flatnonzero(np.concatenate((np.ones(min(n, 1), bool), lead[1:] != lead[:-1])))
+    size = np.diff(np.append(head, n))
+    place = np.arange(n) + np.repeat(head * (width + wide - 1), size)
+    step = np.repeat(size, size)
+    out = np.empty(n * (width + wide), np.uint8)
+    for k in range(width):
+        out[place + k * step] = (a >> np.uint32(8 * k)).astype(np.uint8)
+    for k in range(wide):
+        out[place + (width + k) * step] = (doc >> np.uint64(8 * k)).astype(np.uint8)
+    return np.append(head, n), out
+
+
+_PACKED = "lead int, n int, base long, packed binary"
+
+
+def _packed_batch(lead, edges, base, data) -> pa.RecordBatch:
+    count = np.diff(edges)
+    offsets = edges * (len(data) // max(int(edges[-1]), 1))
+    packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(count), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)])
+    return pa.record_batch(
+        [pa.array(lead.astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(np.full(len(count), base, np.int64)), packed.cast(pa.binary())],
+        ["lead", "n", "base", "packed"],
+    )
+
+
+def _pack_anchors(a: np.ndarray, doc: np.ndarray, known: bool):
+    """Rows (lead, n, base, packed) of anchors; ``lead`` is their lowest bits, or below zero if all
+    are known to be repeated."""
+    if not len(a):
+        return
+    base = doc.min()
+    u, d = a.view(np.uint32), doc.astype(np.uint64) - base.astype(np.uint64)
+    if known:
+        for i in range(0, len(u), KNOWN_ROWS):
+            edges, data = _packed(np.zeros(len(u[i : i + KNOWN_ROWS])), u[i : i + KNOWN_ROWS], d[i : i + KNOWN_ROWS], 4)
+            yield _packed_batch(-1 - (u[i : i + 1] & np.uint32(0xFFFF)).astype(np.int64), edges, base, data)
+        return
+    lead = (u & np.uint32((1 << LEAD_BITS) - 1)).astype(np.uint16)
+    # Rows of one document side by side take less space in the shuffle.
+    order = np.lexsort((d, lead))
+    lead, u, d = lead[order], u[order] >> np.uint32(LEAD_BITS), d[order]
+    edges, data = _packed(lead, u, d, 3)
+    yield _packed_batch(lead[edges[:-1]], edges, base, data)
+
+
+def _unpacked(batches):
+    """(a, doc) of packed rows; known ones have a negative ``doc`` (-1 - doc)."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, 1024):
+            part = batch.slice(i, 1024)
+            out_a, out_d = [], []
+            rows = zip(*(part.column(c).to_pylist() for c in ("lead", "n", "base")), part.column("packed"))
+            for lead, n, base, packed in rows:
+                planes = np.frombuffer(packed.as_buffer(), np.uint8).reshape(-1, n)
+                width = 4 if lead < 0 else 3
+                a = np.zeros(n, np.uint32)
+                for k in range(width):
+                    a |= planes[k].astype(np.uint32) << np.uint32(8 * k)
+                if lead >= 0:
+                    a = a << np.uint32(LEAD_BITS) | np.uint32(lead)
+                d = np.zeros(n, np.uint64)
+                for k in range(len(planes) - width):
+                    d |= planes[width + k].astype(np.uint64) << np.uint64(8 * k)
+                d = (d + np.int64(base).astype(np.uint64)).view(np.int64)
+                out_a.append(a.view(np.int32))
+                out_d.append(-1 - d if lead < 0 else d)
+            if out_a:
+                yield pa.record_batch([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_d))], ["a", "doc"])
+
+
 def _anchors(spec: Spec):
-    """(a, doc): different anchors of each document.
+    """Packed (a, doc): different anchors of each document.
 
     An anchor that several documents of a slice hold is sent once as it is; for all of
-    them it is known to be repeated, which a negative ``doc`` (-1 - doc) says.
+    them it is known to be repeated.
     """
 
     def found(batches):
@@ -119,11 +200,8 @@ def _anchors(spec: Spec):
                 np.maximum.at(high, group, d)
                 known = shared & (low < high)[group] if len(a) else shared
                 sent = np.flatnonzero(~again)
-                # Rows of one document side by side take less space in the shuffle.
-                sent = sent[np.argsort(d[sent], kind="stable")]
-                yield pa.record_batch(
-                    [pa.array(np.concatenate([a[sent], a[known]])), pa.array(np.concatenate([d[sent], -1 - d[known]]))], ["a", "doc"]
-                )
+                yield from _pack_anchors(a[sent], d[sent], False)
+                yield from _pack_anchors(a[known], d[known], True)
 
     return found
 
@@ -409,6 +487,20 @@ def _kept_batch(part: pa.RecordBatch, u: Units, gone: np.ndarray, spec: Spec) ->
     )
 
 
+def _two(high: str, low: str) -> Column:
+    """Two ints as one long, which takes less of a shuffle."""
+    return F.shiftleft(F.col(high).cast("long"), 32).bitwiseOR(F.col(low).cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
+
+
+def _high(col: str) -> Column:
+    return F.shiftright(col, 32).cast("int")
+
+
+def _low(col: str) -> Column:
+    # A cast to int keeps the low 32 bits, but fails on more in ANSI mode.
+    return F.shiftright(F.shiftleft(F.col(col), 32), 32).cast("int")
+
+
 def remove(docs: DataFrame, spec: Spec, *, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, n_units, spans, kept) for every row: spans (b, e) of removed units, sorted
     and apart, and the bytes of what is left (words joined by one space).
@@ -438,12 +530,15 @@ def remove(docs: DataFrame, spec: Spec, *, id_col: str, text_col: str) -> DataFr
         .drop("copies")
     )
     firsts = texts.filter(~F.col("copied"))
-    anchors = firsts.select("doc", "text").mapInArrow(_anchors(spec), "a int, doc long")
-    spread = F.when(F.col("doc") < 0, F.xxhash64("doc", "a")).otherwise(F.col("a").cast("long"))
+    # Grouped where they are placed: lists of a few rows before the shuffle would take more of it.
     wanted = (
-        anchors.repartition(spread)
+        firsts.select("doc", "text")
+        .mapInArrow(_anchors(spec), _PACKED)
+        .repartition("lead")
+        .mapInArrow(_unpacked, "a int, doc long")
         .sortWithinPartitions("a", "doc")
         .mapInArrow(_repeated, "a int, doc long")
+        .repartition("doc")
         .groupBy("doc")
         .agg(F.collect_list("a").alias("anchors"))
     )
@@ -451,15 +546,21 @@ def remove(docs: DataFrame, spec: Spec, *, id_col: str, text_col: str) -> DataFr
         firsts.join(wanted.hint("shuffle_hash"), "doc")
         .select("doc", "h", "text", "anchors")
         .mapInArrow(_pieces(spec), "a int, doc long, h int, b int, e int, piece binary")
+        .select(_two("a", "h").alias("ah"), "doc", _two("b", "e").alias("be"), "piece")
     )
-    shard = F.when(F.col("piece").isNull(), F.xxhash64("doc", "b")).otherwise(F.col("a").cast("long"))
+    a = _high("ah")
+    shard = F.when(F.col("piece").isNull(), F.xxhash64("doc", "be")).otherwise(a.cast("long"))
     spans = (
         pieces.repartition(shard)
+        .select(a.alias("a"), "doc", _low("ah").alias("h"), _high("be").alias("b"), _low("be").alias("e"), "piece")
         .sortWithinPartitions("a")
         .mapInArrow(_index(spec), "doc long, h int, b int, e int, w1 long, w2 long")
         .repartition(F.coalesce("w1", F.xxhash64("doc", "b")))
         .sortWithinPartitions("w1", "w2", "doc")
         .mapInArrow(_smallest, "doc long, h int, b int, e int")
+        .select("doc", "h", _two("b", "e").alias("be"))
+        .repartition("doc")
+        .select("doc", "h", _high("be").alias("b"), _low("be").alias("e"))
         .groupBy("doc")
         .agg(F.collect_list(F.struct("h", "b", "e")).alias("spans"))
     )

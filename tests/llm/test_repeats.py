@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from ebbline.llm import fm_index, repeats, suffix_array
@@ -209,3 +210,20 @@ def test_pointers_of_earlier_buckets_are_reused(monkeypatch):
         monkeypatch.setattr(suffix_array.Buckets, "refine", refine)
         rounds[block] = sum(n)
     assert rounds[1] < rounds[1 << 16]
+
+
+def test_packed_anchors_come_back():
+    """Any ids and anchors, in less than half of the 12 bytes of a row where ids are near each other."""
+    r = np.random.default_rng(4)
+    for n, low, high in ((1, 0, 5), (9, -(2**62), 2**62), (30000, 10**6, 10**6 + 5000), (20000, repeats.NO_ID - 9, repeats.NO_ID)):
+        a, doc = r.integers(-(2**31), 2**31, n).astype(np.int32), r.integers(low, high, n)
+        for known in (False, True):
+            packed = list(repeats._pack_anchors(a, doc, known))
+            rows = [x for b in repeats._unpacked(packed) for x in zip(b.column("a").to_pylist(), b.column("doc").to_pylist())]
+            want = zip(a.tolist(), (-1 - doc if known else doc).tolist())
+            assert sorted(rows) == sorted(want)
+            assert sum(b.column("n").to_numpy().sum() for b in packed) == n
+    a, doc = r.integers(-(2**31), 2**31, 30000).astype(np.int32), r.integers(10**6, 10**6 + 5000, 30000)
+    (one,) = repeats._pack_anchors(a, doc, False)
+    assert one.column("packed").nbytes < 6 * 30000 and one.num_rows == 1 << repeats.LEAD_BITS
+    assert not list(repeats._pack_anchors(a[:0], doc[:0], False))
