@@ -30,7 +30,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from ebbline.llm.words import ragged
 
-SLICE_WORDS = 1 << 22
+SLICE_WORDS = 1 << 20
 # Words of at most this many bytes are merged side by side, so many at a time, in matrices of
 # these heights.
 SHORT_BYTES = 32
@@ -348,10 +348,17 @@ class Codec:
         """Ids of each of an array of words, ``short`` where they are known."""
         return let(self.merges, lambda m: F.zip_with(short, words, lambda ids, w: F.coalesce(ids, self.fold(w, m))))
 
-    def encoded(self, rows: DataFrame, text_col: str, ids_col: str, *, slice_words: int = SLICE_WORDS) -> DataFrame:
-        """``rows`` with the ids of a text column as an array of integers; null texts have null."""
+    def encoded(
+        self, rows: DataFrame, text_col: str, ids_col: str, *, slice_words: int = SLICE_WORDS, keep_text: bool = True
+    ) -> DataFrame:
+        """``rows`` with the ids of a text column as an array of integers; null texts have null.
+
+        Without ``keep_text`` the texts come back empty, and slices hold their words only.
+        """
         words = F.coalesce(self.words(F.col(text_col)), F.array().cast("array<string>"))
         split = rows.withColumn("_words", words)
+        if not keep_text:
+            split = split.withColumn(text_col, F.when(F.col(text_col).isNotNull(), ""))
         row = T.StructType([*rows.schema.fields, T.StructField("_at", T.ArrayType(T.IntegerType()))])
         ids = T.ArrayType(T.ArrayType(T.IntegerType()))
         out = T.StructType([T.StructField("words", T.ArrayType(T.StringType())), T.StructField("short", ids), T.StructField("rows", T.ArrayType(row))])
@@ -378,4 +385,4 @@ def encode_decode(docs: DataFrame, codec: Codec, *, id_col: str = "doc_id", text
     merges times its length.
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return codec.encoded(texts, "text", "ids").select("doc_id", "ids", codec.decode(F.col("ids")).alias("decoded"))
+    return codec.encoded(texts, "text", "ids", keep_text=False).select("doc_id", "ids", codec.decode(F.col("ids")).alias("decoded"))

@@ -98,3 +98,11 @@ def test_refuses_what_it_cannot_merge():
     ranks = {bytes([b]): b for b in range(256)} | {b"abc": 256}
     with pytest.raises(ValueError):
         bpe.Codec(ranks, ".")
+
+
+def test_slices_are_small_and_may_leave_texts_behind(edge, codec):
+    assert bpe.SLICE_WORDS <= 1 << 20
+    rows = edge.select("doc_id", "text").coalesce(1)
+    kept, left = (codec.encoded(rows, "text", "ids", keep_text=k).collect() for k in (True, False))
+    assert [(r.doc_id, r.ids) for r in kept] == [(r.doc_id, r.ids) for r in left]
+    assert all(r.text == (None if k.text is None else "") for k, r in zip(kept, left))
