@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ebbline.functions.dates import calendar_days
 from ebbline.operators.transactions import has_counterparty
+from ebbline.session import Kept
 from ebbline.sources.io import read_table
 
 RUN_DATE = dt.date(2001, 8, 2)
@@ -62,20 +63,19 @@ class Bank:
 
     @contextmanager
     def kept(self) -> Iterator[None]:
-        """Keep the joined lines and the snapshots while many tables are read.
-
-        What only the transactions and the bridge read of the lines is left out; these two
-        read them with the customer (``held_lines``).
-        """
-        self.__dict__["orders"] = self.orders.persist()
-        self.__dict__["lines"] = self.lines.drop("l_orderkey", "l_shipdate", "l_tax", "d").persist()
-        self.__dict__["holders"] = self.holders.persist()
-        held = [self.orders, self.lines, self.holders]
-        try:
-            yield
-        finally:
-            for df in held:
-                df.unpersist()
+        """Keep what many tables are read from: holders, account snapshots, supplier months
+        and the order lines, which are joined to orders and holders once for all tables."""
+        with Kept(self.spark) as keep:
+            try:
+                self.__dict__["holders"] = keep(self.holders)
+                self.__dict__["wide"] = keep(self._lines_and_holders())
+                self.__dict__["lines"] = self.wide.drop("held", "l_shipdate", "l_tax")
+                self.__dict__["_supplier_months"] = keep(self._supplier_months)
+                self.__dict__["account"] = keep(self.account)
+                yield
+            finally:
+                for name in ("holders", "wide", "lines", "_supplier_months", "account"):
+                    self.__dict__.pop(name, None)
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, f"{self.sf_dir}/{name}.parquet")
@@ -126,16 +126,32 @@ class Bank:
             product.alias("product"),
         )
 
+    def _lines_and_holders(self) -> DataFrame:
+        """What the tables read of order lines, with ``held``, kind and closing day of each holder
+        of the customer number: none, or several where customers repeat."""
+        held = self.holders.groupBy("o_custkey").agg(F.collect_list(F.struct("kind", "closed")).alias("held"))
+        o = self.orders.select("o_orderkey", "o_custkey", "m").join(held, "o_custkey", "left")
+        lines = self.table("lineitem")
+        return lines.join(o, F.col("l_orderkey") == F.col("o_orderkey")).drop("l_orderkey", "o_orderkey")
+
+    def told(self, *cols: str | Column) -> DataFrame:
+        """``cols`` of the order lines, for ``held_lines``."""
+        if "wide" in self.__dict__:
+            return self.wide.select("o_custkey", "m", "held", *cols)
+        return self.table("lineitem").select("l_orderkey", *cols)
+
     def held_lines(self, lines: DataFrame) -> DataFrame:
         """Order lines with the order month and the customer's kind and closing day.
 
         The customer is joined to the orders, which are fewer, so lines are shuffled once; what is
         told of a line is worked out before that.
         """
+        if "held" in lines.columns:
+            return lines.select("*", F.inline("held")).drop("held")
         o = self.orders.select("o_orderkey", "o_custkey", "m").join(
             self.holders.select("o_custkey", "kind", "closed"), "o_custkey"
         )
-        return lines.join(o, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
+        return lines.join(o, F.col("l_orderkey") == F.col("o_orderkey")).drop("l_orderkey", "o_orderkey")
 
     @cached_property
     def account(self) -> DataFrame:
@@ -192,7 +208,7 @@ class Bank:
         # Placed by account and month, which is also how the blocks join it.  The names are the
         # final ones here, so that a filter on the day passes the window.
         held = (
-            self.held_lines(self.table("lineitem")).select(
+            self.held_lines(self.told("l_suppkey")).select(
                 _acc().alias("AccountNumber"), F.col("m").alias("EndOfDayDate"), "l_suppkey", "kind", "closed"
             )
             .repartition("AccountNumber", "EndOfDayDate")
@@ -295,8 +311,7 @@ class Bank:
         flag = F.col("l_returnflag")
         plus = (flag == "A") | ((flag == "N") & (F.col("l_linestatus") == "O"))
         n = F.col("l_linenumber")
-        lines = self.table("lineitem").select(
-            "l_orderkey",
+        lines = self.told(
             "l_linenumber",
             F.col("l_shipdate").cast("date").alias("TransactionDate"),
             F.col("l_extendedprice").cast(MONEY).alias("TransactionAmount"),

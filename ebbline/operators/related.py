@@ -21,7 +21,7 @@ counts or decimals, so the signed sum is exact.
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -88,13 +88,15 @@ def _place(c: str) -> Column:
     return F.pmod(F.xxhash64(c), F.lit(PLACES)).cast("int")
 
 
-def related_totals(base: DataFrame, members: DataFrame) -> DataFrame:
+def related_totals(
+    base: DataFrame, members: DataFrame, keep: Callable[[DataFrame], DataFrame] = lambda df: df
+) -> DataFrame:
     """Totals over the distinct accounts that share a client with each base account.
 
     ``base``: as_of_date, account, client.  ``members``: as_of_date, client, related,
     status, kind, balance, where the last three belong to (as_of_date, related).  Rows may
     repeat; rows without a client link nothing; base accounts without a related account
-    have no row.
+    have no row.  ``keep`` may write the steps that others read, one after the other.
     """
     values = _measures()
     day = "as_of_date"
@@ -104,11 +106,11 @@ def related_totals(base: DataFrame, members: DataFrame) -> DataFrame:
     )
     # Every client of a distinct member set, with the measures of the set: each account has
     # one row per client, so adding up per set and client counts it once.
-    held = linked.groupBy(day, "_id", "client").agg(*[F.sum(v).alias(n) for n, v in values.items()])
+    held = keep(linked.groupBy(day, "_id", "client").agg(*[F.sum(v).alias(n) for n, v in values.items()]))
     places = F.explode(F.sequence(F.lit(0), F.lit(PLACES - 1))).alias("_p")
     per_client = held.groupBy(day, "client").agg(F.count(F.lit(1)).alias("_n"), *_sum_all(NAMES)).select("*", places)
 
-    asked = (
+    asked = keep(
         base.filter(F.col("client").isNotNull())
         .select(day, "account", "client")
         .distinct()
@@ -120,7 +122,7 @@ def related_totals(base: DataFrame, members: DataFrame) -> DataFrame:
     def at(rank: int) -> Column:
         return F.max(F.when(F.col("_rank") == rank, F.col("client"))).over(whole)
 
-    ranked = (
+    ranked = keep(
         asked.select(day, "_b", "client")
         .distinct()
         .withColumn("_p", _place("_b"))
@@ -138,7 +140,7 @@ def related_totals(base: DataFrame, members: DataFrame) -> DataFrame:
     sets = couples.withColumn("client", F.col("_d")).join(held, [day, "client"]).drop("client")
     both = holding(sets, "_c", "left_semi")
     per_couple = both.groupBy(day, "_c", "_d").agg(*[F.sum(n).alias(f"_{n}") for n in NAMES]).withColumn("_rank", F.lit(2))
-    counted = (
+    counted = keep(
         ranked.filter("_rank <= 2")
         .join(per_couple, [day, "_c", "_d", "_rank"], "left")
         .select(day, "_b", *[(F.col(n) - F.coalesce(f"_{n}", F.lit(0))).alias(n) for n in NAMES])
@@ -150,7 +152,7 @@ def related_totals(base: DataFrame, members: DataFrame) -> DataFrame:
         .drop("client")
         .dropDuplicates([day, "_b", "_id"])
     )
-    others = holding(holding(walked, "_c", "left_anti"), "_d", "left_anti").select(day, "_b", *NAMES)
+    others = keep(holding(holding(walked, "_c", "left_anti"), "_d", "left_anti").select(day, "_b", *NAMES))
     return (
         counted.unionByName(others)
         .groupBy(day, "_b")
@@ -167,10 +169,13 @@ def related_accounts(
     accounts: DataFrame,
     *,
     closed_months: int = 6,
+    held: DataFrame | None = None,
+    keep: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """Open, recently closed, held and owed over all accounts of the same clients (FE9).
 
-    The base account is one of them, as specified.
+    The base account is one of them, as specified.  ``held`` is the client map of the base
+    accounts, where the caller has it; for ``keep`` see ``related_totals``.
     """
     state = at_snapshot(accounts, asof).select(
         "as_of_date",
@@ -188,12 +193,12 @@ def related_accounts(
     # A repeated bridge row does no harm: accounts are made distinct per base account.
     members = holdings.join(state, ["as_of_date", "related"])
     base_clients = base.select("as_of_date", F.col("AccountNumber").alias("account")).join(
-        client_map.select(
+        (client_map if held is None else held).select(
             "as_of_date", F.col("AccountNumber").alias("account"), F.col("ClientNumber").alias("client")
         ),
         ["as_of_date", "account"],
     )
-    t = related_totals(base_clients, members)
+    t = related_totals(base_clients, members, keep)
     return t.select(
         "as_of_date",
         F.col("account").alias("AccountNumber"),

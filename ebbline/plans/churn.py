@@ -4,19 +4,19 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from dataclasses import dataclass
-from typing import Mapping, Sequence
+from dataclasses import dataclass, replace
+from typing import Callable, Mapping, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.functions.dates import AsOf, month_ends
+from ebbline.functions.dates import AsOf, at_snapshot, month_ends
 from ebbline.operators import drift, features, metrics, model
 from ebbline.operators.joins import capped_lookup
 from ebbline.operators.related import related_accounts
 from ebbline.operators.transactions import transaction_features
-from ebbline.session import shared_dir
+from ebbline.session import Kept, shared_dir
 from ebbline.sources import io
 
 
@@ -67,6 +67,9 @@ def rate_lookup(t: ChurnTables, run: ChurnRun) -> DataFrame:
     return capped_lookup(run.asof, t.rates, cap=run.lookup_cap, month_col="Month", columns=["FLRHOOVA"])
 
 
+Keep = Callable[[DataFrame], DataFrame]
+
+
 @dataclass(frozen=True)
 class Core:
     """The blocks that several others read."""
@@ -77,60 +80,65 @@ class Core:
     details: DataFrame
     income: DataFrame
     codes: DataFrame
-
-    @property
-    def held(self) -> DataFrame:
-        """The client map of the base population, for blocks that read no other accounts."""
-        return self.cmap.join(self.base.select(*features.KEY), features.KEY, "left_semi")
-
-    def release(self) -> None:
-        for df in (self.base, self.cmap):
-            df.unpersist()
-
-
-def core_blocks(t: ChurnTables, run: ChurnRun, *, cache: bool = False) -> Core:
-    """``cache`` keeps the base population and the client map, which nine blocks read, on
-    the executors, spilling to disk."""
-    paid = features.instalments(run.asof, t.loans, run_date=run.run_date)
-    base = features.base_population(run.asof, t.account, paid)
-    cmap = features.client_map(run.asof, t.bridge)
-    if cache:
-        base, cmap = base.persist(), cmap.persist()
-    details = features.client_details(run.asof, cmap, t.client)
-    income = features.declared_income(run.asof, base, t.applications, t.serviceability, run_date=run.run_date)
-    codes = features.valid_attribute(run.asof, base, cmap, t.customer_history, run_date=run.run_date)
-    return Core(paid, base, cmap, details, income, codes)
+    # The client map of the base population, for blocks that read no other accounts.
+    held: DataFrame
+
+
+def core_blocks(t: ChurnTables, run: ChurnRun, *, keep: Keep | None = None) -> Core:
+    """With ``keep`` each block that others read is written once, instalments those of accounts
+    with a snapshot, which nothing reads beyond."""
+    asof = run.asof
+    paid = features.instalments(asof, t.loans, run_date=run.run_date)
+    if keep:
+        accounts = at_snapshot(t.account, asof).select("as_of_date", F.expr("try_cast(AccountNumber as bigint)").alias("ACC_NO"))
+        paid = paid.join(accounts, ["as_of_date", "ACC_NO"], "left_semi")
+    else:
+        keep = _as_is
+    paid = keep(paid)
+    base = keep(features.base_population(asof, t.account, paid))
+    cmap = features.client_map(asof, t.bridge)
+    held = keep(cmap.join(base.select(*features.KEY), features.KEY, "left_semi"))
+    details = features.client_details(asof, cmap, t.client)
+    income = keep(features.declared_income(asof, base, t.applications, t.serviceability, run_date=run.run_date))
+    codes = keep(features.valid_attribute(asof, base, held, t.customer_history, run_date=run.run_date))
+    return Core(paid, base, cmap, details, income, codes, held)
+
+
+def _as_is(df: DataFrame) -> DataFrame:
+    return df
 
 
 def build_features(t: ChurnTables, run: ChurnRun) -> DataFrame:
     """Account trends, transaction trends and the assembled model input (IO6).
 
-    The rate tile at the end cuts the lineage in the shared folder, so the blocks that were
-    kept for the build can be released before returning.
+    Blocks are made one after the other, and what was shuffled for one goes before the next, so
+    the largest block takes the disk and not all together.  The rate tile at the end cuts the
+    lineage in the shared folder, so what was kept for the build goes before returning.
     """
-    core = core_blocks(t, run, cache=True)
-    try:
-        return _assembled(t, run, core)
-    finally:
-        core.release()
+    with Kept(t.account.sparkSession) as keep:
+        days = [*run.asof.snapshots, run.end - dt.timedelta(days=1)]
+        t = replace(t, bridge=keep(t.bridge.filter(F.col("EndOfDayDate").isin(days))))
+        return _assembled(t, run, core_blocks(t, run, keep=keep), keep)
 
 
-def _assembled(t: ChurnTables, run: ChurnRun, core: Core) -> DataFrame:
-    asof, base, cmap = run.asof, core.base, core.cmap
-    held = core.held
-    details = features.client_details(asof, held, t.client)
+def _assembled(t: ChurnTables, run: ChurnRun, core: Core, keep: Keep = _as_is) -> DataFrame:
+    asof, cmap = run.asof, core.cmap
+    details = keep(features.client_details(asof, core.held, t.client))
     means = features.group_means(core.codes, details, core.income)
-    pledged = t.security_bridge.join(
-        base.select(F.col("as_of_date").alias("EndOfDayDate"), "AccountNumber"), ["EndOfDayDate", "AccountNumber"], "left_semi"
-    )
+    income = features.impute_from_groups(core.income, core.codes, means)
+    # Means are over the whole base; other blocks are of the accounts that are assembled.
+    base = keep(features.of_channels(core.base, t.loan_repayment))
+    keys = base.select(*features.KEY)
+    held = keep(core.held.join(keys, features.KEY, "left_semi"))
+    pledged = t.security_bridge.join(keys.withColumnRenamed("as_of_date", "EndOfDayDate"), ["EndOfDayDate", "AccountNumber"], "left_semi")
     return features.assemble(
         base,
         details=details,
-        securities=features.collateral(asof, pledged, t.security),
+        securities=features.collateral(asof, keep(pledged), t.security),
         market=market_lookup(t, run),
         rates=rate_lookup(t, run),
         changed=features.attribute_changed(asof, t.address, held),
-        related=related_accounts(asof, base, cmap, t.account),
+        related=related_accounts(asof, base, cmap, t.account, held=held, keep=keep),
         logins=features.activity_change(
             asof,
             held,
@@ -140,9 +148,9 @@ def _assembled(t: ChurnTables, run: ChurnRun, core: Core) -> DataFrame:
                 "MobileBankingLogonCountMTD": "ApploginsRelChange",
             },
         ),
-        income=features.impute_from_groups(core.income, core.codes, means),
-        repayments=features.total_repayments(asof, base, cmap, t.account, core.paid),
-        later=features.later_repayments(asof, base, cmap, t.account, core.paid),
+        income=income,
+        repayments=features.total_repayments(asof, base, cmap, t.account, core.paid, held),
+        later=features.later_repayments(asof, base, cmap, t.account, core.paid, held),
         account_trend=features.account_features(
             t.account, t.offset_bridge, start=run.start, end=run.end - dt.timedelta(days=1)
         ),
@@ -157,6 +165,7 @@ def _assembled(t: ChurnTables, run: ChurnRun, core: Core) -> DataFrame:
         ),
         loan_repayment=t.loan_repayment,
         label=features.outcome_label(asof, base, t.account_now, run_date=run.run_date),
+        keep=keep,
     )
 
 
