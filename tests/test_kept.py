@@ -8,11 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from ebbline.catalogue import features as catalogue
+from ebbline.catalogue import models
 from ebbline.catalogue.bank import Bank
 from ebbline.operators import features as fe
 from ebbline.operators.related import related_accounts
 from ebbline.plans import churn
-from ebbline.session import DROP_SHUFFLES, Kept, tune
+from ebbline.session import DROP_SHUFFLES, Kept, shared_dir, tune
 
 SEGMENTS = ["BUILDING", "BUILDING", "AUTOMOBILE", "MACHINERY", None]
 
@@ -97,3 +98,20 @@ def test_kept_blocks_are_the_blocks_and_leave_no_shuffles(spark, odd):
             assert rows(block(run.asof, some, core.cmap, t.account, core.paid, held)) == rows(block(run.asof, some, core.cmap, t.account, plain.paid))
         found = related_accounts(run.asof, some, core.cmap, t.account, held=held, keep=keep)
         assert rows(found) == rows(related_accounts(run.asof, some, core.cmap, t.account))
+
+
+def test_training_starts_without_what_the_features_were_made_from(spark, odd, monkeypatch):
+    class Started(Exception):
+        pass
+
+    def start(table, **_):
+        assert not table.isEmpty()
+        raise Started
+
+    monkeypatch.setattr(churn, "train_job", start)
+    before = shuffled(spark)
+    with pytest.raises(Started):
+        models.q_rf_train_score(spark, odd)
+    # Those of the write of the feature table alone: rows by bucket, and buckets by date.
+    assert len(shuffled(spark) - before) <= 8
+    assert not [f for f in os.listdir(shared_dir(spark).removeprefix("file:")) if f.startswith("kept-")]
